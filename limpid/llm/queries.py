@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from limpid.llm import clusters, splits
+from limpid.llm import clusters, overlaps, splits, survivors
 from limpid.runtime import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,11 +33,31 @@ def _p2_described(spark: SparkSession, d: str) -> DataFrame:
     return clusters.describe_clusters(clusters.similarity_clusters(table(spark, d, "unified"), scratch), scratch)
 
 
+def _p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return survivors.best_fields(table(spark, d, "unified"), table(spark, d, "source_registry"), ["logS", "temp_C"])
+
+
+def _p3_survivors(spark: SparkSession, d: str) -> DataFrame:
+    return survivors.survivors(table(spark, d, "unified"), table(spark, d, "source_registry"), ["logS", "temp_C", "solvent", "mol_weight"])
+
+
+def _p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return overlaps.cross_split_pairs(table(spark, d, "folds"), table(spark, d, "split_plan"), table(spark, d, "unified"), Scratch(spark, "p4"))
+
+
+def _p4_report(spark: SparkSession, d: str) -> DataFrame:
+    return overlaps.overlap_report(table(spark, d, "folds"), table(spark, d, "split_plan"), table(spark, d, "unified"), Scratch(spark, "p4"))
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": _p1_found,
     "p1_assigned": _p1_assigned,
     "p1_report": _p1_report,
     "p2_found": _p2_found,
     "p2_described": _p2_described,
+    "p3_found": _p3_found,
+    "p3_survivors": _p3_survivors,
+    "p4_found": _p4_found,
+    "p4_report": _p4_report,
 }
 ORACLES: dict[str, str] = {}
