@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from limpid.plans import general
+
 FLAGSHIP = "curate_pipeline"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**general.QUERIES}
+ORACLES: dict[str, str] = {**general.ORACLES}
