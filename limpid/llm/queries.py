@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from limpid.llm import clusters, overlaps, splits, survivors
+from limpid.llm import canonical, clusters, overlaps, splits, survivors
 from limpid.runtime import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,14 @@ def _p4_report(spark: SparkSession, d: str) -> DataFrame:
     return overlaps.overlap_report(table(spark, d, "folds"), table(spark, d, "split_plan"), table(spark, d, "unified"), Scratch(spark, "p4"))
 
 
+def _p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.map_values(table(spark, d, "unified"), table(spark, d, "solvent_ref"))
+
+
+def _p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.unmatched_values(table(spark, d, "unified"), _p5_found(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": _p1_found,
     "p1_assigned": _p1_assigned,
@@ -59,5 +67,7 @@ QUERIES: dict[str, Query] = {
     "p3_survivors": _p3_survivors,
     "p4_found": _p4_found,
     "p4_report": _p4_report,
+    "p5_found": _p5_found,
+    "p5_unmatched": _p5_unmatched,
 }
 ORACLES: dict[str, str] = {}
