@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from limpid.operators import units
+from limpid.operators import drift, units
 from limpid.runtime import table
 
 
@@ -17,5 +17,19 @@ def _p6_found(spark: SparkSession, d: str) -> DataFrame:
     return units.foreign_units(_p6_converted(spark, d))
 
 
-QUERIES = {"p6_found": _p6_found, "p6_converted": _p6_converted}
+def _p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return drift.schema_changes(table(spark, d, "raw_records")).select("feed", "file_seq", "field", "change_kind")
+
+
+def _p7_changes(spark: SparkSession, d: str) -> DataFrame:
+    return drift.schema_changes(table(spark, d, "raw_records"))
+
+
+def _p7_table(spark: SparkSession, d: str) -> DataFrame:
+    # maps have no order: given out as JSON text of the entries sorted by name
+    t = drift.one_table(table(spark, d, "raw_records"))
+    return t.selectExpr("raw_id", "feed", "file_seq", "line_no", "smiles_original", "solvent", "logS", "source", "to_json(map_from_entries(array_sort(map_entries(other)))) AS other")
+
+
+QUERIES = {"p6_found": _p6_found, "p6_converted": _p6_converted, "p7_found": _p7_found, "p7_changes": _p7_changes, "p7_table": _p7_table}
 ORACLES: dict[str, str] = {}
