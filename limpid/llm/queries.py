@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from limpid.llm import canonical, clusters, overlaps, splits, survivors
+from limpid.llm import canonical, clusters, leaks, mixing, overlaps, splits, survivors
 from limpid.runtime import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,26 @@ def _p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return canonical.unmatched_values(table(spark, d, "unified"), _p5_found(spark, d))
 
 
+def _p8_leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def _p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p8_leaks(spark, d).select("doc_id", "item_id")
+
+
+def _p8_items(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaked_items(_p8_leaks(spark, d), table(spark, d, "eval_items"))
+
+
+def _p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), Scratch(spark, "p9"))
+
+
+def _p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_shares(_p9_mix(spark, d), table(spark, d, "mix_targets"))
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": _p1_found,
     "p1_assigned": _p1_assigned,
@@ -69,5 +89,10 @@ QUERIES: dict[str, Query] = {
     "p4_report": _p4_report,
     "p5_found": _p5_found,
     "p5_unmatched": _p5_unmatched,
+    "p8_found": _p8_found,
+    "p8_leaks": _p8_leaks,
+    "p8_items": _p8_items,
+    "p9_mix": _p9_mix,
+    "p9_shares": _p9_shares,
 }
 ORACLES: dict[str, str] = {}
