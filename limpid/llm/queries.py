@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from limpid.llm import canonical, clusters, leaks, mixing, overlaps, splits, survivors
+from limpid.llm import canonical, clusters, leaks, mixing, overlaps, splits, survivors, toxicity
 from limpid.runtime import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,18 @@ def _p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_shares(_p9_mix(spark, d), table(spark, d, "mix_targets"))
 
 
+def _p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, d, "documents"), table(spark, d, "doc_labels"))
+
+
+def _p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p10_scores(spark, d).where("toxic").select("doc_id")
+
+
+def _p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.toxic_rates(_p10_scores(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": _p1_found,
     "p1_assigned": _p1_assigned,
@@ -94,5 +106,8 @@ QUERIES: dict[str, Query] = {
     "p8_items": _p8_items,
     "p9_mix": _p9_mix,
     "p9_shares": _p9_shares,
+    "p10_found": _p10_found,
+    "p10_scores": _p10_scores,
+    "p10_rates": _p10_rates,
 }
 ORACLES: dict[str, str] = {}
