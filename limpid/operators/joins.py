@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limpid.functions.scalars import finite, normal_id
+from limpid.functions.scalars import finite
+from limpid.operators.schema import normal_id
 
 
 def oof_collapse(oof: DataFrame) -> DataFrame:

@@ -61,11 +61,11 @@ def curve(df: DataFrame, true: str, pred: str, limit: float = -4.0) -> DataFrame
     per = s.groupBy("_b").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
     up = Window.partitionBy(F.lit(0)).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)  # 256 rows
     per = per.select("_b", F.coalesce(F.sum("bp").over(up), F.lit(0)).alias("op"), F.coalesce(F.sum("bn").over(up), F.lit(0)).alias("on"))
-    total = s.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    total = s.agg(F.sum("pos").alias("all_p"), F.sum("neg").alias("all_n"))
     w = Window.partitionBy("_b").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, 0)
     out = s.withColumn("cp", F.sum("pos").over(w)).withColumn("cn", F.sum("neg").over(w)).join(F.broadcast(per), "_b").crossJoin(F.broadcast(total))  # 256 rows, one row
     tp, fp = F.col("op") + F.col("cp"), F.col("on") + F.col("cn")
-    return out.select(F.col("p").alias("score"), tp.alias("tp"), fp.alias("fp"), F.try_divide(tp, F.col("P")).alias("tpr"), F.try_divide(fp, F.col("N")).alias("fpr"), (tp / (tp + fp)).alias("precision"), "pos", "neg")
+    return out.select(F.col("p").alias("score"), tp.alias("tp"), fp.alias("fp"), F.try_divide(tp, F.col("all_p")).alias("tpr"), F.try_divide(fp, F.col("all_n")).alias("fpr"), (tp / (tp + fp)).alias("precision"), "pos", "neg")
 
 
 def ranking(df: DataFrame, true: str, pred: str, limit: float = -4.0) -> DataFrame:

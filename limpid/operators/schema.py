@@ -106,7 +106,7 @@ def frequency_encode(df: DataFrame, column: str, name: str) -> DataFrame:
 
 def row_uid(key: Column, solvent: Column, temp_c: Column) -> Column:
     """key|solvent|temperature with one decimal; nulls become UNKNOWN and NA."""
-    return F.concat_ws("|", F.coalesce(key, F.lit("UNKNOWN")), F.coalesce(solvent, F.lit("UNKNOWN")), F.coalesce(F.format_string("%.1f", F.round(temp_c, 1)), F.lit("NA")))
+    return F.concat_ws("|", F.coalesce(key, F.lit("UNKNOWN")), F.coalesce(solvent, F.lit("UNKNOWN")), F.when(temp_c.isNotNull(), F.format_string("%.1f", F.round(temp_c, 1))).otherwise("NA"))
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

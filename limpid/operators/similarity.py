@@ -18,7 +18,7 @@ def bit_words(flags: Column, width: int) -> Column:
 
     def word(k: int) -> Column:
         part = F.slice(flags, k * 64 + 1, 64)
-        return F.aggregate(F.transform(part, lambda b, i: F.when(b, F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+        return F.aggregate(F.transform(part, lambda b, i: F.when(b, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
 
     return F.array(*[word(k) for k in range(n)])
 
@@ -43,7 +43,7 @@ def similar_pairs(df: DataFrame, key: str, words: str, limit: float) -> DataFram
     computed from the words. Empty vectors are similar to none.
     """
     v = df.select(F.col(key).alias("k"), F.col(words).alias("w")).where("k IS NOT NULL AND w IS NOT NULL").withColumn("n", bit_total(F.col("w"))).where("n > 0")
-    on = F.flatten(F.transform("w", lambda x, i: F.filter(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda j: F.when(F.shiftright(x, j).bitwiseAND(F.lit(1).cast("long")) == 1, i * 64 + j)), lambda j: j.isNotNull())))
+    on = F.flatten(F.transform("w", lambda x, i: F.filter(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda j: F.when(F.call_function("shiftright", x, j).bitwiseAND(F.lit(1).cast("long")) == 1, i * 64 + j)), lambda j: j.isNotNull())))
     bits = v.select("k", "n", F.explode(on).alias("bit"))
     rare = bits.groupBy("bit").agg(F.count("*").alias("f"))
     listed = bits.join(rare, "bit").groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("f", "bit"))).alias("o"))
@@ -111,7 +111,9 @@ def moments(df: DataFrame, vector: str, width: int) -> tuple[int, np.ndarray, np
 
 
 def _dot(vector: str, w: np.ndarray, shift: np.ndarray) -> Column:
-    return reduce(lambda a, i: a + (F.col(vector)[i].cast("double") - float(shift[i])) * float(w[i]), range(len(w)), F.lit(0.0))
+    """Scalar product of w with the vector less the shift; the weights are an array literal, so plans stay small."""
+    weights = F.array(*[F.lit(float(x)) for x in w])
+    return F.aggregate(F.zip_with(vector, weights, lambda v, x: v.cast("double") * x), F.lit(0.0), lambda a, x: a + x) - float(shift @ w)
 
 
 def pca(df: DataFrame, vector: str, width: int, k: int = 2, fitted: DataFrame | None = None) -> DataFrame:

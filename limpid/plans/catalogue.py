@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from limpid.plans import general
+from limpid.plans import general, reference
 
 FLAGSHIP = "curate_pipeline"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**general.QUERIES}
-ORACLES: dict[str, str] = {**general.ORACLES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**reference.QUERIES, **general.QUERIES}
+ORACLES: dict[str, str] = {**reference.ORACLES, **general.ORACLES}
