@@ -32,4 +32,16 @@ def _p7_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p6_found": _p6_found, "p6_converted": _p6_converted, "p7_found": _p7_found, "p7_changes": _p7_changes, "p7_table": _p7_table}
-ORACLES: dict[str, str] = {}
+P7_FOUND = r"""WITH x AS (SELECT feed, file_seq, payload, unnest(json_keys(payload)) AS k FROM raw_records WHERE feed IS NOT NULL AND file_seq IS NOT NULL),
+y AS (SELECT feed, file_seq, k, json_type(json_extract(payload, '$."' || k || '"')) AS t FROM x),
+z AS (SELECT feed, file_seq, k, CASE WHEN k IN ('smiles_original', 'canonical_smiles', 'SMILES', 'smiles', 'SMILES_Solute', 'smi', 'Structure (SMILES)') THEN 'smiles_original'
+  WHEN k IN ('solvent', 'Solvent', 'Medium', 'medium_name', 'SMILES_Solvent', 'Solvent (Solubility (MCS))') THEN 'solvent'
+  WHEN k IN ('logS', 'LogS', 'logS_molL', 'Solubility', 'Y', 'LogS(mol/L)', 'log_solubility') THEN 'logS' WHEN k IN ('source', 'Source', 'dataset', 'origin', 'data_origin') THEN 'source' ELSE k END AS field,
+  CASE WHEN t = 'VARCHAR' THEN 'string' WHEN t = 'BOOLEAN' THEN 'boolean' WHEN t = 'ARRAY' THEN 'array' WHEN t = 'OBJECT' THEN 'object' WHEN t = 'NULL' THEN NULL ELSE 'number' END AS kind FROM y),
+h AS (SELECT feed, file_seq, field, min(k) AS name, CASE WHEN count(DISTINCT kind) > 1 THEN 'string' ELSE min(kind) END AS kind FROM z GROUP BY ALL),
+f AS (SELECT feed, file_seq, lag(file_seq) OVER (PARTITION BY feed ORDER BY file_seq) AS last FROM (SELECT DISTINCT feed, file_seq FROM raw_records WHERE feed IS NOT NULL AND file_seq IS NOT NULL)),
+n AS (SELECT f.feed, f.file_seq, h.field, h.name, h.kind FROM f JOIN h ON h.feed = f.feed AND h.file_seq = f.file_seq WHERE last IS NOT NULL),
+o AS (SELECT f.feed, f.file_seq, h.field, h.name, h.kind FROM f JOIN h ON h.feed = f.feed AND h.file_seq = f.last)
+SELECT feed, file_seq, field, 'added' AS change_kind FROM n ANTI JOIN o USING (feed, file_seq, field) UNION ALL SELECT feed, file_seq, field, 'removed' FROM o ANTI JOIN n USING (feed, file_seq, field)
+UNION ALL SELECT n.feed, n.file_seq, n.field, 'renamed' FROM n JOIN o USING (feed, file_seq, field) WHERE n.name <> o.name UNION ALL SELECT n.feed, n.file_seq, n.field, 'retyped' FROM n JOIN o USING (feed, file_seq, field) WHERE n.kind <> o.kind"""
+ORACLES = {"p7_found": P7_FOUND}
