@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from limpid.llm import canonical, clusters, leaks, mixing, overlaps, splits, survivors, toxicity
+from limpid.llm.oracles import ORACLES
 from limpid.runtime import Scratch, table
 
+__all__ = ["ORACLES", "QUERIES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -110,4 +113,3 @@ QUERIES: dict[str, Query] = {
     "p10_scores": _p10_scores,
     "p10_rates": _p10_rates,
 }
-ORACLES: dict[str, str] = {}
