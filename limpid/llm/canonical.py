@@ -53,7 +53,7 @@ def edit_distance(a: str, b: str, most: int) -> int:
         if min(row) > most:
             return most + 1
         before, last = last, row
-    return last[-1]
+    return min(last[-1], most + 1)
 
 
 class Matcher:
