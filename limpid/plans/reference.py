@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from limpid.functions import chemistry
 from limpid.functions import scalars as S
 from limpid.operators import consensus, filters, joins, linear, metrics, models, outliers, sampling, schema, selection, similarity
 from limpid.plans import pipelines
@@ -553,6 +554,21 @@ def mahalanobis(spark, d):
     return similarity.mahalanobis(table(spark, d, "embeddings"), "embedding", 64).select("vec_id", *r6("distance"))
 
 
+# -- molecules --------------------------------------------------------------------------------------------------
+
+
+@query()
+def molecule_properties(spark, d):
+    x = chemistry.describe(table(spark, d, "unified"), "smiles_neutral").drop("bits")
+    return x.withColumns({c: F.round(c, 4) for c in ("mol_weight", "polar_area")})
+
+
+@query()
+def fingerprint_pairs(spark, d):
+    x = chemistry.describe(table(spark, d, "unified").where("smiles_neutral NOT IN ('', 'nan')"), "smiles_neutral").where("valid").select("smiles_neutral", "bits")
+    return similarity.similar_pairs(x, "smiles_neutral", "bits", 0.7).withColumn("similarity", F.round("similarity", 6))
+
+
 # -- pipelines --------------------------------------------------------------------------------------------------
 
 CURATE = M.rstrip() + f""", w AS (SELECT * FROM m WHERE {WATER} AND temp_C BETWEEN 24 AND 50), e AS (SELECT min(temp_C) AS lo, max(temp_C) AS hi FROM w WHERE temp_C IS NOT NULL),
