@@ -239,7 +239,8 @@ def convert_measurements(unified: DataFrame, registry: DataFrame) -> DataFrame:
     """
     by = stated_by_source(registry)
     base = unified.select(F.col("rec_id").alias("rec_key"), plain_source(F.col("source")).alias("src"), F.col("assay_description").alias("text"), F.when(F.col("mol_weight") > 0, F.col("mol_weight")).alias("mw"), *[F.col(c).alias(f"_{c}") for c in ("temp_C", "logS")])
-    base = base.join(by, base.src == by.source, "left").drop("source")
+    # sources that the registry lacks are fitted as one: their names may be as many as the rows
+    base = base.join(by, base.src == by.source, "left").withColumn("src", F.col("source")).drop("source")
     out = []
     for field, q, says, src in (("temp_C", CELSIUS, lambda x: stated_temperature(F.col("text"), x), "temp_unit"), ("logS", LOG_MOLAR, lambda x: stated_solubility(F.col("text")), "logs_unit")):
         x = F.when(usable(F.col(f"_{field}")), F.col(f"_{field}"))
