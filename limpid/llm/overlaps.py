@@ -15,8 +15,9 @@ from limpid.runtime import Scratch, clean_key, plain_source, spelled
 EDITS = 2
 #: First characters of the InChIKey that name the same skeleton.
 BLOCK = 14
-#: Evaluation texts in one automaton; a length with more is spread over several.
-SHARD = 20_000
+#: Evaluation texts in one automaton, and training texts that one task scans with it; a length with more is spread
+#: over several tasks.
+SHARD, PART = 20_000, 250_000
 
 
 def _lead(a: str, b: str) -> int:
@@ -95,15 +96,18 @@ def near_texts(evaluation: DataFrame, training: DataFrame) -> DataFrame:
     """(s_eval, s_train, distance, coverage): distinct texts (column ``s``) of both sides within EDITS edits.
 
     Automata are sharded by the length of the evaluation text; a training text is scanned by the shards of the
-    lengths that EDITS edits can lead to, and by no others.
+    lengths that EDITS edits can lead to, and by no others. Both sides of a task are bounded: lengths with many texts
+    are spread over several automata and several parts of the training texts.
     """
-    ev = evaluation.withColumn("n", F.length("s"))
-    per = ev.groupBy("n").agg(F.ceil(F.count("*") / F.lit(SHARD)).cast("int").alias("shards"))
-    ev = ev.join(per, "n").select("n", F.expr("CAST(pmod(xxhash64(s), shards) AS INT)").alias("shard"), "s")
-    lengths = per.select(F.col("n").alias("of"), F.col("shards").alias("k"))
-    tr = training.select(F.col("s").alias("t"), F.explode(F.sequence(F.length("s") - EDITS, F.length("s") + EDITS)).alias("of")).join(lengths, "of")
-    tr = tr.select("of", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("part"), "t")
-    return ev.groupBy("n", "shard").cogroup(tr.groupBy("of", "part")).applyInPandas(_scan, "s_eval string, s_train string, distance int, coverage double")
+    around = lambda n: F.explode(F.sequence(n - EDITS, n + EDITS))
+    shards = evaluation.groupBy(F.length("s").alias("n")).agg(F.ceil(F.count("*") / F.lit(SHARD)).cast("int").alias("shards"))
+    near = training.groupBy(F.length("s").alias("m")).agg(F.count("*").alias("k")).select(around(F.col("m")).alias("n"), "k")
+    plan = shards.join(near.groupBy("n").agg(F.ceil(F.sum("k") / F.lit(PART)).cast("int").alias("parts")), "n")
+    ev = evaluation.withColumn("n", F.length("s")).join(plan, "n").select("n", F.expr("CAST(pmod(xxhash64(s), shards) AS INT)").alias("shard"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "s")
+    to = plan.select(F.col("n").alias("of"), F.col("shards").alias("ks"), F.col("parts").alias("kp"))
+    tr = training.select(F.col("s").alias("t"), around(F.length("s")).alias("of")).join(to, "of")
+    tr = tr.select("of", F.explode(F.sequence(F.lit(0), F.col("ks") - 1)).alias("to"), F.expr("CAST(pmod(xxhash64(t), kp) AS INT)").alias("at"), "t")
+    return ev.groupBy("n", "shard", "part").cogroup(tr.groupBy("of", "to", "at")).applyInPandas(_scan, "s_eval string, s_train string, distance int, coverage double")
 
 
 def placed_records(folds: DataFrame, plan: DataFrame, unified: DataFrame, scratch: Scratch) -> DataFrame:

@@ -20,21 +20,20 @@ def related_groups(folds: DataFrame, unified: DataFrame, scratch: Scratch) -> Da
     """(row_uid, grp) for every non-null row_uid of ``folds``; grp names the related group.
 
     Rows are related by row_uid, by cluster (null and -1 relate nothing) or, through unified, by clean InChIKey.
-    The graph is built on the attributes: a row_uid only links its own attributes in a chain, so a hot molecule or
-    cluster is one node whatever its rows, and only row_uids with two or more attributes give edges. Repeated rows
-    change nothing; a row_uid without any attribute is a group of its own. Extra columns are ignored.
+    The graph is built on the attributes: a row_uid only links its other attributes to its smallest one, so a hot
+    molecule, cluster or row_uid is one node or one star of distinct links, never a collected list. Repeated rows change
+    nothing; a row_uid without any attribute is a group of its own. Extra columns are ignored.
     """
     uids = folds.where("row_uid IS NOT NULL").select("row_uid", F.col("cluster_ecfp4_0p7").alias("c")).distinct()
-    marks = uids.select("row_uid", F.when(F.col("c") != -1, F.concat(F.lit("c"), F.col("c").cast("string"))).alias("mark"))
-    keys = unified.select("row_uid", clean_key(F.col("InChIKey")).alias("k")).where("row_uid IS NOT NULL AND k IS NOT NULL")
-    keys = keys.distinct().select("row_uid", F.concat(F.lit("k"), "k").alias("mark"), F.lit(False).alias("mine"))
-    both = marks.withColumn("mine", F.lit(True)).unionByName(keys)
-    # the marks of one row_uid are few: its clusters and keys
-    held = both.groupBy("row_uid").agg(F.array_sort(F.collect_set("mark")).alias("marks"), F.max("mine").alias("mine")).where("mine").drop("mine")
-    held = scratch.write(held)
-    chain = held.where(F.size("marks") > 1).select(F.explode(F.expr("transform(sequence(1, size(marks) - 1), i -> struct(marks[i - 1] AS a, marks[i] AS b))")).alias("e")).select("e.a", "e.b").distinct()
-    roots = components(chain, scratch)
-    named = held.select("row_uid", F.coalesce(F.try_element_at("marks", F.lit(1)), F.concat(F.lit("r"), "row_uid")).alias("mark"))
+    ids = uids.select("row_uid").distinct()
+    clustered = uids.where(F.col("c") != -1).select("row_uid", F.concat(F.lit("c"), F.col("c").cast("string")).alias("mark"))
+    keys = unified.select("row_uid", clean_key(F.col("InChIKey")).alias("k")).where("row_uid IS NOT NULL AND k IS NOT NULL").distinct()
+    keyed = keys.join(ids, "row_uid", "left_semi").select("row_uid", F.concat(F.lit("k"), "k").alias("mark"))
+    marks = scratch.write(clustered.unionByName(keyed))
+    low = marks.groupBy("row_uid").agg(F.min("mark").alias("low"))
+    links = marks.join(low, "row_uid").where("mark <> low").select(F.col("low").alias("a"), F.col("mark").alias("b")).distinct()
+    roots = components(links, scratch)
+    named = ids.join(low, "row_uid", "left").select("row_uid", F.coalesce("low", F.concat(F.lit("r"), "row_uid")).alias("mark"))
     return named.join(roots, named.mark == roots.node, "left").select("row_uid", F.coalesce("root", "mark").alias("grp"))
 
 

@@ -198,6 +198,7 @@ def test_distance_within(a, b):
 @pytest.mark.parametrize("shard", [20_000, 2])
 def test_near_texts(spark, shard, monkeypatch):
     monkeypatch.setattr(overlaps, "SHARD", shard)
+    monkeypatch.setattr(overlaps, "PART", shard * 3)
     rng = random.Random(shard)
     base = ["".join(rng.choice("CNO") for _ in range(rng.choice((1, 2, 3, 5, 12, 30)))) for _ in range(25)] + ["x" * 3000]
 
