@@ -89,6 +89,12 @@ def neutral_fraction(ph: Column, acid: Column, base: Column) -> Column:
     return 1 / (1 + a + b)
 
 
+def pka_summary(pka: Column) -> Column:
+    """(low, high, n) of a map atom -> pKa as text; what is empty, zero or no number doesn't count."""
+    held = F.filter(F.transform(F.map_values(pka), lambda v: v.try_cast("double")), lambda v: v.isNotNull() & ~F.isnan(v) & (v != 0))
+    return F.struct(F.array_min(held).alias("low"), F.array_max(held).alias("high"), F.when(pka.isNotNull(), F.size(held)).alias("n"))
+
+
 def net_charge(ph: Column, acids: Column, bases: Column) -> Column:
     """Charge of a molecule with the given pKa arrays, with H+ and OH- of the solution; falls with the pH."""
     zero = F.lit(0.0)

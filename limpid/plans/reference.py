@@ -9,7 +9,9 @@ from limpid.functions import chemistry
 from limpid.functions import scalars as S
 from limpid.operators import consensus, filters, joins, linear, metrics, models, outliers, sampling, schema, selection, similarity
 from limpid.plans import pipelines
-from limpid.runtime import clean_key, plain_source, table, usable
+from limpid.runtime import Scratch, clean_key, plain_source, table, usable
+from limpid.sources import files
+from limpid.streaming import score
 
 MODELS_SQL = "SELECT DISTINCT model FROM oof WHERE model IS NOT NULL"
 
@@ -569,6 +571,36 @@ def fingerprint_pairs(spark, d):
     return similarity.similar_pairs(x, "smiles_neutral", "bits", 0.7).withColumn("similarity", F.round("similarity", 6))
 
 
+# -- files and streams ------------------------------------------------------------------------------------------
+
+
+@query("SELECT row_uid, fold, cluster_ecfp4_0p7, suffix FROM folds, (SELECT unnest(['csv', 'json', 'parquet', 'tsv']) AS suffix)")
+def file_round_trip(spark, d):
+    f, out = table(spark, d, "folds").select("row_uid", "fold", "cluster_ecfp4_0p7"), None
+    root = Scratch(spark, "files").root
+    for suffix in ("csv", "json", "parquet", "tsv"):
+        files.write_any(f, f"{root}/folds.{suffix}")
+        back = files.read_any(spark, f"{root}/folds.{suffix}", f.schema).select(*f.columns).withColumn("suffix", F.lit(suffix))
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+@query(M + f"SELECT rec_id, round(-3.0 - 0.25 * (1000.0 / (coalesce(temp_C, 25.0) + 273.15)), 6) AS predicted FROM m WHERE {WATER} AND (temp_C IS NULL OR temp_C BETWEEN 4 AND 60)")
+def stream_score(spark, d):
+    root = Scratch(spark, "stream").root
+    rows = measurements(spark, d).select("rec_id", "solvent", "temp_C", "source")
+    files.write_any(rows, f"{root}/in")
+    got = score.score_stream(score.read_stream(spark, f"{root}/in", rows.schema), {"intercept": -3.0, "inv_temp": -0.25}, low=4.0, high=60.0)
+    score.write_stream(got, f"{root}/out", f"{root}/state").awaitTermination()
+    return spark.read.schema("rec_id long, predicted_logS double").parquet(f"{root}/out").select("rec_id", F.round("predicted_logS", 6).alias("predicted"))
+
+
+@query("""SELECT rec_id, CAST(list_min(v) AS DOUBLE) AS low, CAST(list_max(v) AS DOUBLE) AS high, CAST(len(v) AS INT) AS n FROM (SELECT rec_id, list_filter([CAST(rec_id % 7 AS DOUBLE), CAST(rec_id % 3 + 0.5 AS DOUBLE), NULL], lambda x: x IS NOT NULL AND x <> 0) AS v FROM unified)""")
+def pka_summary(spark, d):
+    pka = F.create_map(F.lit("1"), (F.col("rec_id") % 7).cast("string"), F.lit("2"), (F.col("rec_id") % 3 + 0.5).cast("string"), F.lit("3"), F.lit("none"))
+    return table(spark, d, "unified").select("rec_id", S.pka_summary(pka).alias("p")).select("rec_id", "p.*")
+
+
 # -- pipelines --------------------------------------------------------------------------------------------------
 
 CURATE = M.rstrip() + f""", w AS (SELECT * FROM m WHERE {WATER} AND temp_C BETWEEN 24 AND 50), e AS (SELECT min(temp_C) AS lo, max(temp_C) AS hi FROM w WHERE temp_C IS NOT NULL),

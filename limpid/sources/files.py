@@ -33,7 +33,7 @@ def read_any(spark: SparkSession, path: str, schema: T.StructType | str | None =
     if name.endswith((".parquet", ".pq")):
         return spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
     if name.endswith(".json"):
-        return spark.read.json(path)
+        return spark.read.schema(schema).json(path) if schema is not None else spark.read.json(path)
     if name.endswith((".tsv", ".tab")):
         return read_csv(spark, path, schema, "\t")
     if name.endswith(".csv"):
