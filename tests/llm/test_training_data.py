@@ -316,8 +316,8 @@ def words(text):
 def test_disguises():
     plain = words("you worthless bastard")
     assert plain == ["you", "worthles", "bastard"]
-    assert all(words(t) == plain for t in ("YOU w o r t h l e s s bastard", "you w0rthl3$$ b@st@rd", "you wоrthlеss bаstаrd", "you wor​thless bastard", "you worthlesssss bastardddd"))
-    assert words("a b****d") == ["a", "<*>"] and words("batch T4711 gave 3.5 mg") == ["batch", "<code>", "gave", "<number>", "<end>", "<number>", "mg"]
+    assert all(words(t) == plain for t in ("YOU w o r t h l e s s bastard", "you w0rthl3$$ b@st@rd", "you w0rthle$s ba$tard", "you wоrthlеss bаstаrd", "you wor​thless bastard", "you worthlesssss bastardddd"))
+    assert words("@$k $h0uld") == ["ask", "should"] and words("a b****d") == ["a", "<*>"] and words("batch T4711 gave 3.5 mg") == ["batch", "<code>", "gave", "<number>", "<end>", "<number>", "mg"]
 
 
 def test_classifier_held_out(spark):
