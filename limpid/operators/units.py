@@ -149,22 +149,22 @@ def _converted(q: Quantity, unit: str | Column) -> Column:
 def fit_mixture(q: Quantity, counts: DataFrame, usual: dict[str, str]) -> tuple[list[float], dict[str, list[float]]]:
     """(density per bin, {source: weight per unit}) of values whose unit is not stated.
 
-    ``counts`` has (src, told, bins, n): rows by source, whether the unit is stated, and the bins that the value falls
-    into under every unit; bins bound its size. All units share one density on the target scale, since they differ by
-    known conversions only; it is estimated from the stated rows (from the usual unit where none are stated), and EM
-    fits the weights of the units for each source, starting from its usual unit.
+    ``counts`` has (bin, src, bins, slopes, n): values of known unit by their bin of the target scale, the others by
+    source and the bins that they fall into under every unit. Bins bound its size. All units share one density on the
+    target scale, since they differ by known conversions only; it is estimated from the values of known unit (from the
+    usual unit where there are few), and EM fits the weights of the units for each source, starting from its usual unit.
     """
-    rows = counts.collect()
+    got = counts.collect()
+    rows = [r for r in got if r["bin"] is None]
     nb, nu = _edges(q), len(q.units)
     base = np.zeros(nb + 1)
-    for r in rows:
-        if r["told"] >= 0:
-            base[r["bins"][r["told"]]] += r["n"]
+    for r in got:
+        if r["bin"] is not None:
+            base[r["bin"]] += r["n"]
     names = [u.name for u in q.units]
     if base[1:].sum() < 30:
         for r in rows:
-            if r["told"] < 0:
-                base[r["bins"][names.index(usual.get(r["src"], names[0]))]] += r["n"]
+            base[r["bins"][names.index(usual.get(r["src"], names[0]))]] += r["n"]
     dens = base[1:]
     total = max(dens.sum(), 1.0)
     near = np.convolve(dens, [0.05, 0.15, 0.6, 0.15, 0.05], "same")
@@ -174,8 +174,7 @@ def fit_mixture(q: Quantity, counts: DataFrame, usual: dict[str, str]) -> tuple[
     weights: dict[str, list[float]] = {}
     by: dict[str, list] = {}
     for r in rows:
-        if r["told"] < 0:
-            by.setdefault(r["src"], []).append(r)
+        by.setdefault(r["src"], []).append(r)
     for src, rs in by.items():
         n = np.array([r["n"] for r in rs], float)
         like = np.array([[dens[b] * s for b, s in zip(r["bins"], r["slopes"])] for r in rs]) + 1e-300
@@ -209,10 +208,15 @@ def with_units(rows: DataFrame, q: Quantity, usual: dict[str, str] | None = None
     bins = F.array(*[F.expr(_bin(q, u.to_target)) for u in q.units])
     # slopes that depend on the value are taken at the bin of the value itself, on a log scale
     slot = F.when(F.col("x").isNull(), None).otherwise(F.round(F.signum("x") * F.log1p(F.abs("x")) * 50) / 50)
-    told = F.coalesce(F.array_position(F.array(*[F.lit(n) for n in names]), F.coalesce("_text", F.lit("?"))) - 1, F.lit(-1))
-    counts = live.where("x IS NOT NULL").select(F.col("_src").alias("src"), told.cast("int").alias("told"), bins.alias("bins"), slot.alias("slot"), "x")
-    counts = counts.groupBy("src", "told", "bins", "slot").agg(F.count("*").alias("n"), F.avg("x").alias("x")).withColumn("mw", F.lit(None).cast("double"))
-    counts = counts.select("src", "told", "bins", "n", F.array(*[F.expr(f"CAST({u.slope} AS DOUBLE)") for u in q.units]).alias("slopes"))
+    live = live.withColumn("_unit", F.coalesce("_text", "_reg"))
+    at = F.when(F.lit(False), F.lit(0))
+    for u in q.units:
+        at = at.when(F.col("_unit") == u.name, F.expr(_bin(q, u.to_target)))
+    free = lambda c: F.when(F.col("_unit").isNull(), c)
+    counts = live.where("x IS NOT NULL").select(at.alias("bin"), free(F.col("_src")).alias("src"), free(bins).alias("bins"), free(slot).alias("slot"), "x")
+    counts = counts.groupBy("bin", "src", "bins", "slot").agg(F.count("*").alias("n"), F.avg("x").alias("x")).withColumn("mw", F.lit(None).cast("double"))
+    slopes = F.array(*[F.expr(f"CAST({u.slope} AS DOUBLE)") for u in q.units])
+    counts = counts.select("bin", "src", "bins", "n", F.when(F.col("bin").isNull(), slopes).alias("slopes"))
     dens, weights = fit_mixture(q, counts, usual)
     table = F.array(*[F.lit(d) for d in dens])
     start = {s: [1.0 if n == usual.get(s, names[0]) else PRIOR / len(names) for n in names] for s in ("",)}
@@ -224,10 +228,10 @@ def with_units(rows: DataFrame, q: Quantity, usual: dict[str, str] | None = None
     got = got.withColumn("_p", F.transform("_l", lambda v: v / total))
     best = F.element_at(F.array(*[F.lit(n) for n in names]), F.array_position("_p", F.array_max("_p")).cast("int"))
     here = F.col("x").isNotNull()
-    unit = F.when(here, F.coalesce("_text", "_reg", best))
+    unit = F.when(here, F.coalesce("_unit", best))
     got = got.withColumn("unit", unit).withColumn("how", F.when(here, F.when(F.col("_text").isNotNull(), "text").when(F.col("_reg").isNotNull(), "source").otherwise("value")))
     got = got.withColumn("posterior", F.when(F.col("how") == "value", F.round(F.array_max("_p"), 6)).when(here, 1.0))
-    return got.withColumn("target", _converted(q, F.col("unit"))).drop("_src", "_text", "_reg", "_w", "_l", "_p")
+    return got.withColumn("target", _converted(q, F.col("unit"))).drop("_src", "_text", "_reg", "_unit", "_w", "_l", "_p")
 
 
 def convert_measurements(unified: DataFrame, registry: DataFrame) -> DataFrame:
