@@ -103,7 +103,7 @@ def net_charge(ph: Column, acids: Column, bases: Column) -> Column:
     return plus - minus
 
 
-def saturation_ph(log_s: Column, acids: Column, bases: Column, steps: int = 60) -> Column:
+def saturation_ph(log_s: Column, acids: Column, bases: Column, steps: int = 40) -> Column:
     """pH of the saturated solution in -2..16, by bisection of the charge balance, which falls with the pH."""
     s = F.pow(F.lit(10.0), log_s)
 
