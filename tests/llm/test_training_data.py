@@ -127,6 +127,30 @@ def test_similarity_clusters(spark, scratch, cell, monkeypatch):
     assert d.where("place > 2").count() == 0 and d.where("place = 1").count() == len(sizes)
 
 
+def test_similar_values_in_many_short_runs(spark, scratch):
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("CNOcn1()=S") for _ in range(n))
+    runs = [text(23) for _ in range(3)]  # three common runs of 23 characters and no longer one: 42 of 82 shingles
+    pair = [runs[0] + "Br" + runs[1] + "Cl" + runs[2], "".join(runs)]
+    subs = []
+    for _ in range(20):  # three evenly placed substitutions in 100 characters
+        a = text(100)
+        subs.append((a, "".join("#" if k in (25, 50, 75) else c for k, c in enumerate(a))))
+    assert similar(*pair) and not any(pair[0][k : k + 24] in pair[1] for k in range(len(pair[0]) - 23))
+    texts = pair + [t for ab in subs for t in ab]
+    want = roots([(a, b) for a, b in itertools.combinations(texts, 2) if similar(a, b)])
+    assert len(want) >= 40
+    got = clusters.similarity_clusters(spark.createDataFrame([(t,) for t in texts], "smiles_neutral string"), scratch)
+    assert {tuple(r) for r in got.collect()} == set(want.items())
+
+
+def test_repetitive_values_of_unlike_length(spark, scratch):
+    texts = ["C" * 18 + "(=O)O", "C" * 40 + "(=O)O"]
+    assert similar(*texts)
+    got = clusters.similarity_clusters(spark.createDataFrame([(t,) for t in texts], "smiles_neutral string"), scratch)
+    assert {r[0] for r in got.collect()} == set(texts)
+
+
 def test_window_minima_meet():
     rng = random.Random(1)
     run = "".join(rng.choice(string.ascii_lowercase) for _ in range(31))
