@@ -29,11 +29,12 @@ FOLDS, DOUBT = 3, 0.15
 ORDINARY = 0.3
 #: Tokens at a time when features are taken; longer texts are read in such overlapping parts, to their end.
 PART = 2048
-#: A language gets a threshold of its own if at least so many of its held-out documents are rated toxic.
-OWN_THRESHOLD = 25
-#: The threshold where too few held-out texts are rated toxic to set one; the weak examples of ordinary text, which
-#: outnumber few ratings, pull all scores down.
-COMMON_CUT = 0.2
+#: The threshold without any toxic rating, and the toxic ratings that it counts for beside those there are.
+PRIOR_CUT, PRIOR_TOXIC = 0.2, 10
+#: A language's own cut and the common one weigh alike at so many toxic ratings of the language.
+SHRINK_TOXIC = 25
+#: Scores are counted in so many equal bins when thresholds are set.
+BINS = 1000
 # Letters of other scripts that look like Latin ones, and signs that stand for letters.
 LOOKALIKES = str.maketrans("абеорсухіјѕԁһӏкмнтвαοерνικτυ", "a6eopcyxijsdhlkmhtbaoepviktu")
 LEET = str.maketrans("013457@$!|€", "oieastasiie")
@@ -102,6 +103,7 @@ class Classifier:
     known: frozenset[int] | None = None  # buckets seen often enough in training; others are the unknown word
     thresholds: dict[str, float] = field(default_factory=dict)
     weights: dict[str, np.ndarray] = field(default_factory=dict)
+    counts: pd.DataFrame | None = None  # scored ratings by language and score
     _memo: dict[str, tuple[int, int] | None] = field(default_factory=dict, repr=False)
 
     def __getstate__(self) -> dict:
@@ -241,30 +243,50 @@ class Classifier:
         return self.thresholds.get(lang or "", self.thresholds[""])
 
 
-def _best_cut(score: np.ndarray, label: np.ndarray) -> float:
-    """The cut of the highest F1; between equal ones the middle."""
-    order = np.argsort(-score)
-    hit = np.cumsum(label[order])
-    f1 = 2 * hit / (np.arange(1, len(score) + 1) + label.sum())
+def _best_cut(counts: np.ndarray) -> float:
+    """The cut of the highest F1 over counts (BINS, 2) of harmless and toxic by score; between equal ones the middle."""
+    hit = np.cumsum(counts[::-1, 1])[::-1]  # toxic from each bin on
+    f1 = 2 * hit / (np.cumsum(counts.sum(axis=1)[::-1])[::-1] + counts[:, 1].sum()).clip(1e-9)
     top = np.flatnonzero(f1 >= f1.max() - 1e-12)
-    s = score[order]
-    a = s[top[0]]
-    b = s[top[-1] + 1] if top[-1] + 1 < len(s) else 0.0
-    return float(np.clip((a + b) / 2, 0.2, 0.9))
+    return float((top[0] + top[-1]) / 2 / BINS)
+
+
+def score_bins(score: np.ndarray) -> np.ndarray:
+    return np.minimum((np.asarray(score, float) * BINS).astype(np.int64), BINS - 1)
+
+
+def thresholds(counts: pd.DataFrame) -> dict[str, float]:
+    """{language: threshold} from counts (lang, bin, toxic, n) of all scored ratings; '' is the common one.
+
+    Every language with a rating gets the cut of its own best F1, drawn towards the common cut by the weight of
+    SHRINK_TOXIC toxic ratings; the common cut is drawn towards PRIOR_CUT likewise. Nothing switches at a count.
+    """
+
+    def table(rows: pd.DataFrame) -> np.ndarray:
+        out = np.zeros((BINS, 2))
+        np.add.at(out, (rows["bin"].to_numpy(np.int64), rows["toxic"].to_numpy(np.int64)), rows["n"].to_numpy(float))
+        return out
+
+    def drawn(rows: pd.DataFrame, to: float, weight: float) -> float:
+        t = table(rows)
+        toxic = t[:, 1].sum()
+        return float((toxic * _best_cut(t) + weight * to) / (toxic + weight))
+
+    common = drawn(counts, PRIOR_CUT, PRIOR_TOXIC)
+    return {"": common} | {str(lang): drawn(rows, common, SHRINK_TOXIC) for lang, rows in counts[counts.lang != ""].groupby("lang")}
 
 
 def train(rated: pd.DataFrame, background: pd.DataFrame | None = None, seed: int = 7) -> Classifier:
     """A classifier from rows (text, lang, toxic in 0..1), helped by seed sentences and by ordinary text.
 
-    Raters err, and some ordinary text is not: examples that are contradicted by classifiers fitted on the other folds are left out of the fit. Every
-    sixth text (by hash, so copies stay together) is held out to set the thresholds: one for all languages, and
-    one for each language with enough toxic held-out texts. A fixed seed makes the fit repeatable.
+    Raters err, and some ordinary text is not: examples that are contradicted by classifiers fitted on the other folds
+    are left out of the fit. No rating is held out for the thresholds: ``model.counts`` has how often texts of a
+    language were rated so at a score, each scored by a classifier that was fitted on the other folds (by hash, so
+    copies stay together). A fixed seed makes the fit repeatable.
     """
     model = Classifier(seed)
     seeds, kinds = seed_texts()
-    hashed = rated.text.map(_bucket).to_numpy(np.int64) if len(rated) else np.zeros(0, np.int64)
-    held = hashed % 6 == 0
-    fit = rated[~held].assign(weight=1.0)
+    fit = rated.assign(weight=1.0)
     if background is not None and len(background):
         fit = pd.concat([fit, background.assign(toxic=0.0, weight=BACKGROUND_WEIGHT)], ignore_index=True)
     fold = (fit.text.map(_bucket).to_numpy(np.int64) // 6) % FOLDS if len(fit) else np.zeros(0, np.int64)
@@ -287,27 +309,55 @@ def train(rated: pd.DataFrame, background: pd.DataFrame | None = None, seed: int
         most = np.where(given[fold == k] < 1, ORDINARY, 1 - DOUBT)
         trusted[fold == k] = np.abs(said - toxic[fold == k]) < most
     learn(model, trusted, EPOCHS, STEPS)
-    model.thresholds = {"": COMMON_CUT}
-    check = rated[held]
-    if len(check):
-        score, label = model.scores(check.text.tolist()), (check.toxic.to_numpy(float) >= 0.5).astype(float)
-        if label.sum() >= OWN_THRESHOLD:
-            model.thresholds[""] = _best_cut(score, label)
-            langs = check.lang.fillna("").str.lower().str.strip().to_numpy(str)
-            for lang in sorted(set(langs) - {""}):
-                if label[langs == lang].sum() >= OWN_THRESHOLD:
-                    model.thresholds[str(lang)] = _best_cut(score[langs == lang], label[langs == lang])
+    by_rating = np.arange(len(fit)) < len(rated)
+    score = np.zeros(len(fit))
+    for k in range(FOLDS if len(rated) else 0):
+        other, mine = Classifier(seed + 11 + k), (fold == k) & by_rating
+        learn(other, trusted & (fold != k), EPOCHS, STEPS)
+        known = np.zeros(BUCKETS, bool)
+        known[list(other.known)] = True
+        score[mine] = other.scores_of([np.where(known[docs[i]], docs[i], 0) for i in np.flatnonzero(mine)])
+    langs = rated.lang.map(plain_lang) if len(rated) else []
+    model.counts = _counts(langs, score[: len(rated)], toxic[: len(rated)])
+    model.thresholds = thresholds(model.counts)
     return model
 
 
+def plain_lang(lang: object) -> str:
+    return lang.strip().lower() if isinstance(lang, str) else ""
+
+
+def _counts(langs, score: np.ndarray, toxic: np.ndarray) -> pd.DataFrame:
+    rows = pd.DataFrame({"lang": np.asarray(langs, dtype=object), "bin": score_bins(score), "toxic": (np.asarray(toxic, float) >= 0.5).astype(np.int64)})
+    return rows.groupby(["lang", "bin", "toxic"]).size().rename("n").reset_index()
+
+
 def rated_documents(documents: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> pd.DataFrame:
     """The bounded sample of rated documents: (text, lang, toxic), toxic being the mean of a document's ratings."""
-    marks = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.avg("toxic").alias("toxic"))
-    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    marks = _marks(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang").join(F.broadcast(marks), "doc_id")  # at most MAX_LABELLED rows
     return rows.orderBy("doc_id", "text").select("text", "lang", "toxic").limit(2 * most).toPandas()
 
 
+def _marks(labels: DataFrame) -> DataFrame:
+    return labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.avg("toxic").alias("toxic"))
+
+
+def other_ratings(documents: DataFrame, labels: DataFrame, model: Classifier, sample: pd.DataFrame) -> pd.DataFrame:
+    """Counts (lang, bin, toxic, n) of the rated documents whose texts the model was not fitted on, scored where they lie."""
+    spark = documents.sparkSession
+    fitted = spark.createDataFrame(sample[["text"]], "text string").select(F.xxhash64("text").alias("h")).distinct()
+    rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang").join(_marks(labels), "doc_id").withColumn("h", F.xxhash64("text"))
+    rows = rows.join(F.broadcast(fitted), "h", "left_anti").select("text", "lang", "toxic")  # at most 2 MAX_LABELLED rows
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield _counts(pdf["lang"].map(plain_lang), model.scores(pdf["text"].tolist()), pdf["toxic"])
+
+    got = rows.mapInPandas(run, "lang string, bin long, toxic long, n long").groupBy("lang", "bin", "toxic").agg(F.sum("n").alias("n"))
+    return got.orderBy("lang", "bin", "toxic").toPandas()  # 2 BINS rows a language at most
+
+
 def ordinary_documents(documents: DataFrame, labels: DataFrame, most: int = MAX_BACKGROUND) -> pd.DataFrame:
     """The bounded sample of unrated documents: (text, lang)."""
     rated = labels.where("doc_id IS NOT NULL").select("doc_id").distinct()
@@ -320,12 +370,15 @@ def score_documents(documents: DataFrame, labels: DataFrame, seed: int = 7) -> D
     """(doc_id, source, lang, score, toxic) for every document.
 
     The classifier is trained on the driver from a bounded sample of rated documents (MAX_LABELLED) and
-    unrated ones (MAX_BACKGROUND) and sent to the
-    workers (its size is fixed, about 2 MB); every document is scored whole where it lies, without a shuffle. Null and
+    unrated ones (MAX_BACKGROUND) and sent to the workers (its size is fixed, about 2 MB). Thresholds come from all
+    ratings: those of the sample by cross-fitted scores, the others by scores taken where the documents lie. Every document is scored whole where it lies, without a shuffle. Null and
     empty texts score 0. Unknown languages use the common threshold. Conflicting ratings count with their mean;
     without any rating the seed sentences alone teach the classifier.
     """
-    model = train(rated_documents(documents, labels), ordinary_documents(documents, labels), seed)
+    sample = rated_documents(documents, labels)
+    model = train(sample, ordinary_documents(documents, labels), seed)
+    model.thresholds = thresholds(pd.concat([model.counts, other_ratings(documents, labels, model, sample)], ignore_index=True))
+    model.counts = None  # the workers don't need them
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

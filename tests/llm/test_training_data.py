@@ -372,3 +372,19 @@ def test_unrated(spark):
     labels = spark.createDataFrame([], "doc_id long, rater string, toxic int")
     got = {r["doc_id"]: r["toxic"] for r in toxicity.score_documents(docs, labels).collect()}
     assert got == {1: True, 2: False}
+
+
+def test_thresholds_from_all_ratings(spark):
+    counts = pd.DataFrame([("en", 900, 1, 40), ("en", 100, 0, 400), ("de", 400, 1, 5), ("de", 100, 0, 40)], columns=["lang", "bin", "toxic", "n"])
+    got = toxicity.thresholds(counts)
+    assert set(got) == {"", "en", "de"} and 0.2 < got[""] < got["de"] < 0.25 < got["en"] < 0.51  # few ratings move a cut a little
+    tenfold = toxicity.thresholds(counts.assign(n=counts.n * 10))
+    assert abs(tenfold["de"] - 0.25) < abs(got["de"] - 0.25)
+    assert toxicity.thresholds(counts[counts.toxic == 0])["de"] == toxicity.PRIOR_CUT
+    text = lambda i: f"the w{i} sample was stirred. " + (f"you are a w{i % 9} fool and a disgrace" if i % 4 == 0 else f"we measured w{i % 9} values")
+    docs = spark.createDataFrame([(i, text(i), "de" if i % 5 == 0 else "en") for i in range(200)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, "r", int(i % 4 == 0)) for i in range(200)], "doc_id long, rater string, toxic int")
+    sample = toxicity.rated_documents(docs, labels, 80)
+    model = toxicity.train(sample)
+    assert len(sample) == 80 == model.counts.n.sum() and {"en", "de"} < set(model.thresholds)
+    assert toxicity.other_ratings(docs, labels, model, sample).n.sum() == 120
