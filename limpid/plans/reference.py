@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -523,7 +525,14 @@ def ridge_full(spark, d):
 
 @query()
 def gbt_oof(spark, d):
-    return models.oof(physics(spark, d), ["inv_temp", "mw"], "logS", "rec_id", flavours={"boost_quick": ("gbt", {"maxDepth": 3, "maxIter": 5}), "forest_quick": ("rf", {"maxDepth": 4, "numTrees": 10})}).withColumn("y_pred", F.round("y_pred", 6))
+    return models.oof(physics(spark, d), ["inv_temp", "mw"], "logS", "rec_id").withColumn("y_pred", F.round("y_pred", 6))
+
+
+@query()
+def gbt_search(spark, d):
+    live = physics(spark, d).where("NOT isnan(logS)")
+    got = [(kind, place, float(rmse), json.dumps(params, sort_keys=True)) for kind in models.SEARCH for place, (rmse, params) in enumerate(models.search(live, ["inv_temp", "mw"], "logS", kind), 1)]
+    return spark.createDataFrame(got, "kind string, place int, rmse double, params string")
 
 
 # -- vectors ----------------------------------------------------------------------------------------------------

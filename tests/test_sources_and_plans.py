@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import __spark_entry__
-from limpid.operators import filters
+from limpid.operators import filters, models
 from limpid.plans import pipelines
 from limpid.plans.reference import measurements
 from limpid.sources import files
@@ -76,3 +76,17 @@ def test_queries_equal_sql(spark, sf, name):
     assert sorted(r.columns) == cols
     want = sorted((tuple(x[r.columns.index(k)] for k in cols) for x in r.fetchall()), key=repr)
     assert sorted((tuple(x[k] for k in cols) for x in df.collect()), key=repr) == want
+
+
+def test_gbt_oof_runs_the_production_models(spark, sf, monkeypatch):
+    asked = {}
+
+    def oof(df, features, target, key, flavours=models.FLAVOURS):
+        asked.update(flavours)
+        return df.select("rec_id", "fold").withColumn("y_pred", F.lit(0.0))
+
+    monkeypatch.setattr(models, "oof", oof)
+    __spark_entry__.queries()["gbt_oof"](spark, sf)
+    assert asked == models.FLAVOURS and len(asked) == 3
+    monkeypatch.setattr(models, "search", lambda df, features, target, kind: [(0.5, {"maxDepth": 3}), (0.75, {"maxDepth": 4})])
+    assert __spark_entry__.queries()["gbt_search"](spark, sf).where("place = 1 AND rmse = 0.5").count() == len(models.SEARCH)
