@@ -151,6 +151,16 @@ def test_repetitive_values_of_unlike_length(spark, scratch):
     assert {r[0] for r in got.collect()} == set(texts)
 
 
+def test_typicality_is_the_mean_dice_similarity(spark, scratch):
+    rng = random.Random(3)
+    text = "".join(rng.choice("CNOcn1()=S") for _ in range(49))
+    texts = [text[:19], text[:29], text]  # nested sets of 10, 20 and 40 shingles
+    got = clusters.describe_clusters(spark.createDataFrame([(t, text[:19]) for t in texts], "smiles_neutral string, cluster_key string"), scratch)
+    want = {a: np.mean([2 * min(len(a) - 9, len(b) - 9) / (len(a) + len(b) - 18) for b in texts]) for a in texts}
+    assert {r["smiles_neutral"]: r["typicality"] for r in got.collect()} == pytest.approx(want, abs=1e-8)
+    assert [r["smiles_neutral"] for r in got.where("place = 1").collect()] == [texts[1]]
+
+
 def test_window_minima_meet():
     rng = random.Random(1)
     run = "".join(rng.choice(string.ascii_lowercase) for _ in range(31))
