@@ -198,12 +198,14 @@ def with_units(rows: DataFrame, q: Quantity, usual: dict[str, str] | None = None
     """Adds unit, posterior, how ('text', 'source', 'value') and target to rows of (x, mw, src, stated, by_source, ...).
 
     Rows whose x is null keep null. The unit is what the text states, else what the source states, as long as the
-    value can be in that unit at all (its target lies within the quantity's range); else the unit of the highest
+    value can be in that unit at all (its target lies within the quantity's range, or is null for lack of a molar mass
+    or because x is 0); else the unit of the highest
     posterior under the fitted mixture. Only counts by source and bin come to the driver.
     """
     usual = usual or {}
     names = [u.name for u in q.units]
-    fits = lambda unit: _converted(q, unit).between(q.low, q.high)
+    by_mass = [u.name for u in q.units if "mw" in u.to_target]
+    fits = lambda unit: F.coalesce(_converted(q, unit).between(q.low, q.high), (F.col("x") == 0) | (unit.isin(by_mass) & F.col("mw").isNull()))
     live = rows.withColumn("_src", F.coalesce("src", F.lit(""))).withColumn("_text", F.when(fits(F.col("stated")), F.col("stated"))).withColumn("_reg", F.when(fits(F.col("by_source")), F.col("by_source")))
     bins = F.array(*[F.expr(_bin(q, u.to_target)) for u in q.units])
     # slopes that depend on the value are taken at the bin of the value itself, on a log scale
@@ -242,7 +244,7 @@ def convert_measurements(unified: DataFrame, registry: DataFrame) -> DataFrame:
     under SURE. Repeated rows are converted alike; extra columns are ignored; an empty table gives an empty result.
     """
     by = stated_by_source(registry)
-    base = unified.select(F.col("rec_id").alias("rec_key"), plain_source(F.col("source")).alias("src"), F.col("assay_description").alias("text"), F.when(F.col("mol_weight") > 0, F.col("mol_weight")).alias("mw"), *[F.col(c).alias(f"_{c}") for c in ("temp_C", "logS")])
+    base = unified.select(F.col("rec_id").alias("rec_key"), plain_source(F.col("source")).alias("src"), F.col("assay_description").alias("text"), F.when((F.col("mol_weight") > 0) & ~F.isnan("mol_weight"), F.col("mol_weight")).alias("mw"), *[F.col(c).alias(f"_{c}") for c in ("temp_C", "logS")])
     # sources that the registry lacks are fitted as one: their names may be as many as the rows
     base = base.join(by, base.src == by.source, "left").withColumn("src", F.col("source")).drop("source")
     out = []

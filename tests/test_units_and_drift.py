@@ -118,3 +118,12 @@ def test_two_names_of_one_role_and_long_values(spark):
 
 def test_roles_by_words():
     assert [drift.role_of(n) for n in ("SMILES_Solvent", "canonical smiles", "log_S_20C", "data_source", "stir_rpm", "resource")] == ["solvent", "smiles_original", "logS", "source", None, None]
+
+
+def test_stated_unit_stands_without_a_target(spark):
+    rows = [(1, "a", "logS in log10(mg/mL)", None, -2.0), (2, "a", "logS in log10(mg/mL)", float("nan"), -2.0), (3, "a", "solubility in mol/L, not log", 100.0, 0.0), (4, "a", "solubility in mol/L, not log", 100.0, -3.0)]
+    df = spark.createDataFrame([(*r, None) for r in rows], "rec_id long, source string, assay_description string, mol_weight double, logS double, temp_C double")
+    registry = spark.createDataFrame([], "source string, remark string")
+    got = {r["rec_key"]: r for r in units.convert_measurements(df, registry).where("field = 'logS'").collect()}
+    assert [got[k]["unit"] for k in (1, 2, 3)] == ["log10 g/L", "log10 g/L", "mol/L"] and all(got[k]["value"] is None and got[k]["how"] == "text" for k in (1, 2, 3))
+    assert got[4]["how"] != "text"  # no concentration is negative
