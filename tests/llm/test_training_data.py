@@ -151,7 +151,16 @@ def test_repetitive_values_of_unlike_length(spark, scratch):
     assert {r[0] for r in got.collect()} == set(texts)
 
 
-def test_typicality_is_the_mean_dice_similarity(spark, scratch):
+def test_repeated_motifs_of_all_lengths(spark, scratch):
+    texts = [m * n for m in ("C", "OCC", "NCC(=O)") for n in range(3, 61)] + ["CC(=O)" + "OCC" * n for n in range(3, 60, 7)]
+    want = roots([(a, b) for a, b in itertools.combinations(texts, 2) if similar(a, b)])
+    got = clusters.similarity_clusters(spark.createDataFrame([(t,) for t in texts], "smiles_neutral string"), scratch)
+    assert {tuple(r) for r in got.collect()} == set(want.items())
+
+
+@pytest.mark.parametrize("whole", [clusters.WHOLE, 0])
+def test_typicality_is_the_mean_dice_similarity(spark, scratch, whole, monkeypatch):
+    monkeypatch.setattr(clusters, "WHOLE", whole)  # 0: every cluster by joins and sums
     rng = random.Random(3)
     text = "".join(rng.choice("CNOcn1()=S") for _ in range(49))
     texts = [text[:19], text[:29], text]  # nested sets of 10, 20 and 40 shingles
