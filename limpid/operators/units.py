@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limpid.runtime import plain_source, usable
+from limpid.runtime import Scratch, plain_source, usable
 
 #: A unit that neither text nor source states is taken from its posterior; below this it is flagged as uncertain.
 SURE = 0.95
 #: Share of a source's rows that its usual unit is credited with before any are seen.
 PRIOR = 0.05
+#: So many sources' weights are broadcast at most; more are joined.
+MOST_SOURCES = 10_000
 _LN10 = math.log(10)
 
 
@@ -58,76 +63,124 @@ LOG_MOLAR = Quantity(
 
 # -- units stated by a text -------------------------------------------------------------------------------------
 
-_FAHRENHEIT = r"(?i)\bfahrenheit\b|\bdeg(rees)?\.?\s*F\b|\bdegF\b|°\s?F\b|℉|\(F\)|\bT/F\b"
-_CELSIUS_WORD = r"(?i)\bcelsius\b|\bcentigrade\b|\bdeg(rees)?\.?\s*C\b|\bdegC\b|°\s?C\b|℃"
-_KELVIN_WORD = r"(?i)\bkelvin\b|\babsolute temp|\babs\. temp|\(K\)|\bT/K\b|\bin K\b"
+# The writings of scales and units, and words for what is done to a sample beside the measurement.
+_SCALES = {
+    "F": r"(?:degrees )?fahrenheit\b|deg(?:rees)?\.?\s*F\b|degF\b|°\s?F\b|℉",
+    "C": r"(?:degrees )?celsius\b|centigrade\b|deg(?:rees)?\.?\s*C\b|degC\b|°\s?C\b|℃",
+    "K": r"kelvins?\b|deg(?:rees)?\.?\s*K\b|°\s?K\b",
+}
+_HANDLING = re.compile(r"\b(?:dr(?:ied|y|ying)|oven|stored?|storage|kept|received|shipped|delivered at|melt(?:s|ed|ing)?|boil(?:s|ed|ing)?|quench(?:ed|ing)?|frozen|freez\w+|fridge|room|before|after|flash ?point)\b", re.I)
+_STATEMENT = re.compile(r";|\.\s|\s/\s(?![^()]*\))|[\r\n]")
+_NUMBERED = {u: re.compile(rf"(?<![\w.])(-?\d+(?:\.\d+)?)\s?(?:(?i:{w})|{u}\b)") for u, w in _SCALES.items()}
+_EQUATED = re.compile(r"\bT(?:emp(?:erature)?)?\.?\s?\(\s?°?([FCK])\s?\)\s?[=:]\s?(-?\d+(?:\.\d+)?)")
+_NAMED = {u: re.compile(rf"(?i:\b{w}|(?<!\w)(?:{w}))|\(°?{u}\)|\bT/{u}\b|\bin {u}\b" + (r"|(?i:\babs(?:olute|\.)? temp)" if u == "K" else "")) for u, w in _SCALES.items()}
 
 
-def _number_before(text: Column, unit: str) -> Column:
-    """All numbers of the text that stand directly before the unit."""
-    found = F.regexp_extract_all(text, F.lit(rf"(-?\d+(?:\.\d+)?)\s?(?:{unit})\b"), F.lit(1))
-    return F.transform(found, lambda n: n.try_cast("double"))
+def temperature_words(text: str) -> tuple[str | None, dict[str, list[float]]]:
+    """(scale, {scale: numbers}) that a text states: the one scale named without a number, and numbers with a scale.
 
-
-def _names_value(text: Column, x: Column, unit: str) -> Column:
-    """A number with the unit in the text is the recorded value itself (within rounding)."""
-    return F.exists(_number_before(text, unit), lambda n: F.abs(n - x) < 0.51)
-
-
-_F_MARK, _C_MARK, _K_MARK = "(?i:deg(?:rees)?\\.?\\s*F|°\\s?F|degF|degrees fahrenheit|fahrenheit)|F", "(?i:deg(?:rees)?\\.?\\s*C|°\\s?C|degC|celsius)|C", "(?i:kelvin)|K"
-
-
-def stated_temperature(text: Column, x: Column) -> Column:
-    """'F', 'C', 'K' or null: the scale that the text states for the recorded value.
-
-    A number with a scale only counts if it is the recorded value ('Run at 77 F' beside 77.0); other numbers belong to
-    storage, drying or melting. A scale named without a number counts unless another scale is named like that too.
+    A text is read statement by statement and clause by clause; clauses on what is done to the sample beside the
+    measurement (storage, drying, melting) state nothing, whatever their numbers.
     """
-    bare = F.regexp_replace(text, rf"-?\d+(?:\.\d+)?\s?(?:{_F_MARK}|{_C_MARK}|{_K_MARK})\b", " ")
-    f, c, k = (bare.rlike(w) for w in (_FAHRENHEIT, _CELSIUS_WORD, _KELVIN_WORD))
-    return (
-        F.when(_names_value(text, x, _F_MARK), "F")
-        .when(_names_value(text, x, _K_MARK), "K")
-        .when(_names_value(text, x, _C_MARK), "C")
-        .when(f & ~c & ~k, "F")
-        .when(k & ~c & ~f, "K")
-        .when(c & ~f & ~k, "C")
-    )
-
-
-# amounts ("5 mg/mL", "10 mM") and logarithms of something else say nothing about the recorded value
-_ASIDE = r"(?<![A-Za-z\d])\d+(?:\.\d+)?\s?(?:[munµμ]?M\b|[munµμ]?g\s?/\s?m?[lL]\b|[munµμ]?mol\s?/\s?[lL]\b)|\bln k'?|\bln fit\b|(?i:\blog\s?[PD]\b|\blog k'?\b)"
-_NEGATIVE = r"(?i)(?:^|[\s(=,:])[-−–]\s?(?:log|lg)|\bminus (?:the )?(?:decadic )?(?:log|lg)|\bnegative (?:decadic |common )?(?:log|lg)|\bsign reversed|\bpS\b|\bp-scale\b"
-_NATURAL = r"(?i)\bln\b|\bnapierian\b|\bnatural log|\blog\s?_?e\b|\bln-"
-_LOGGED = r"(?i)\blog(?!ge|\s?book)|\blg\b|\bdecadic\b"
-_UNLOGGED = r"(?i)\bnot log|\bno log|\blinear\b|\bwithout log|\bunlogged\b|\bconcentration itself\b|\bnon-log"
-_MILLI, _MICRO = r"\bmM\b|(?i:\bmmol|\bmillimol)", r"[uµμ]M\b|(?i:[uµμ]mol|\bmicromol)"
-_MASS = r"(?i)\bm?g\s?(?:/|per )\s?m?l\b|\bgrams? (?:/|per )|\bmilligrams? (?:/|per )|\bmg per ml\b|\bmass (?:conc|solub)"
-_MOLAR = r"\bM\b|(?i:\bmol\s?/\s?l|\bmol\s?(?:l|dm)\s?-|\bmol per |\bmolar|\bS in mol)"
-
-
-def stated_solubility(text: Column) -> Column:
-    """Name of the LOG_MOLAR unit that the text states, null if it states none."""
-    t = F.regexp_replace(text, _ASIDE, " ")
-    negative, natural, logged, unlogged, milli, micro, mass, molar = (t.rlike(p) for p in (_NEGATIVE, _NATURAL, _LOGGED, _UNLOGGED, _MILLI, _MICRO, _MASS, _MOLAR))
-    return (
-        F.when(negative, "-log10 mol/L")
-        .when(natural, "ln mol/L")
-        .when(unlogged & molar, "mol/L")
-        .when(logged & micro, "log10 umol/L")
-        .when(logged & milli, "log10 mmol/L")
-        .when(logged & mass, "log10 g/L")
-        .when(logged & molar, "log10 mol/L")
-        .when(molar & ~micro & ~milli & ~mass, "mol/L")
-    )
+    named, numbers = set(), {u: [] for u in _SCALES}
+    for statement in _STATEMENT.split(text):
+        for clause in statement.split(","):
+            if _HANDLING.search(clause):
+                continue
+            for u, n in _EQUATED.findall(clause):
+                numbers[u].append(float(n))
+            clause = _EQUATED.sub(" ", clause)
+            for u, marked in _NUMBERED.items():
+                numbers[u] += [float(n) for n in marked.findall(clause)]
+            for marked in _NUMBERED.values():
+                clause = marked.sub(" ", clause)
+            named |= {u for u, w in _NAMED.items() if w.search(clause)}
+    return (next(iter(named)) if len(named) == 1 else None), numbers
+
+
+# an amount ("5 mg/mL", "10 mM") is not the unit of the recorded value
+_AMOUNT = re.compile(r"(?<![A-Za-z\d])\d+(?:\.\d+)?\s?(?:[munµμ]?M\b|[munµμ]?g\s?/\s?m?[lL]\b|[munµμ]?mol\s?/\s?[lL]\b)")
+_NEGATIVE = re.compile(r"(?:^|[\s(=,:])[-−–]\s?(?:log|lg)|\b(?:minus|negative) (?:the |of )?(?:decadic |common |base-10 )?(?:log|lg)", re.I)
+_P_SCALE = re.compile(r"\bpS\b|\bpM\b")
+_NATURAL = re.compile(r"\bln\b|\bnapierian\b|\bnatural log|\blog\s?_?e\b", re.I)
+_LOGGED = re.compile(r"\blog(?:10|arithm\w*|s)?\b|\blog(?=S\b)|\blg\b|\bdecadic\b", re.I)
+_UNLOGGED = re.compile(r"\b(?:not|no|non|without|un)[- ]?(?:a )?log|\blinear\b|\bconcentration itself\b", re.I)
+_UNITS = {
+    "mass": re.compile(r"\bm?g\s?(?:/|per )\s?m?l\b|\b(?:milli)?grams? (?:/|per )|\bmass (?:conc|solub)", re.I),
+    "micro": re.compile(r"[uµμ]M\b|(?i:[uµμ]mol|\bmicromol)"),
+    "milli": re.compile(r"\bmM\b|(?i:\bmmol|\bmillimol)"),
+    "molar": re.compile(r"\bM\b|(?i:\bmol\s?/\s?l|\bmol\s?(?:l|dm)\s?-|\bmol per |\bmolar)"),
+}
+_LOGGED_UNIT = {"mass": "log10 g/L", "micro": "log10 umol/L", "milli": "log10 mmol/L", "molar": "log10 mol/L"}
+
+
+def solubility_words(text: str) -> str | None:
+    """Name of the LOG_MOLAR unit that the text states, None if it states none.
+
+    A statement counts if it names a unit of concentration without an amount before it, or a negative logarithm; what
+    is taken the logarithm of is read from the same statement.
+    """
+    for statement in _STATEMENT.split(text):
+        t = _AMOUNT.sub(" ", statement)
+        unit = next((u for u, w in _UNITS.items() if w.search(t)), None)
+        if _NEGATIVE.search(t) or _P_SCALE.search(t):
+            return "-log10 mol/L"
+        if unit is None:
+            continue
+        if _UNLOGGED.search(t):
+            if unit == "molar":
+                return "mol/L"
+        elif _NATURAL.search(t):
+            if unit == "molar":
+                return "ln mol/L"
+        elif _LOGGED.search(t):
+            return _LOGGED_UNIT[unit]
+        elif unit == "molar":
+            return "mol/L"
+    return None
+
+
+def _per_text(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """What each text states; a text that occurs again is read once."""
+    known: dict[str, tuple] = {}
+    for texts in batches:
+        out = []
+        for t in texts:
+            if t is None:
+                out.append((None, None, None, None, None))
+                continue
+            got = known.get(t)
+            if got is None:
+                if len(known) > 100_000:
+                    known.clear()
+                scale, numbers = temperature_words(t)
+                got = (scale, numbers["F"] or None, numbers["K"] or None, numbers["C"] or None, solubility_words(t))
+                if len(t) <= 1000:
+                    known[t] = got
+            out.append(got)
+        yield pd.DataFrame(out, columns=["scale", "f", "k", "c", "solubility"])
+
+
+def stated(text: Column) -> Column:
+    """Struct (scale, f, k, c, solubility) of what a text states; Arrow batches, each distinct text is read once a task."""
+    return F.pandas_udf(_per_text, "scale string, f array<double>, k array<double>, c array<double>, solubility string", F.PandasUDFType.SCALAR_ITER)(text)
+
+
+def stated_temperature(words: Column, x: Column) -> Column:
+    """'F', 'C', 'K' or null: the scale that the text's words (see stated) give for the recorded value.
+
+    A scale named for the measurement stands whatever numbers occur beside it. Else a number with a scale counts if it
+    is the recorded value within rounding ('Run at 77 F' beside 77.0).
+    """
+    says = lambda u: F.coalesce(F.exists(words[u], lambda n: F.abs(n - x) < 0.51), F.lit(False))
+    return F.coalesce(words["scale"], F.when(says("f"), "F").when(says("k"), "K").when(says("c"), "C"))
 
 
 def stated_by_source(registry: DataFrame) -> DataFrame:
     """(source, temp_unit, logs_unit): what the remarks of a source registry say of its units; null where nothing."""
-    t = F.col("remark")
-    temp = F.when(t.rlike(r"(?i)\bkelvin\b"), "K").when(t.rlike(r"(?i)\bfahrenheit\b"), "F").when(t.rlike(r"(?i)\bcelsius\b"), "C")
-    reg = registry.select(plain_source(F.col("source")).alias("source"), F.when(~t.rlike(r"(?i)\bif nothing is said\b"), temp).alias("temp_unit"), F.when(~t.rlike(r"(?i)\bif nothing is said\b"), stated_solubility(t)).alias("logs_unit"))
-    return reg.where("source IS NOT NULL").groupBy("source").agg(F.max("temp_unit").alias("temp_unit"), F.max("logs_unit").alias("logs_unit"))
+    w = stated(F.col("remark"))
+    reg = registry.select(plain_source(F.col("source")).alias("source"), w.alias("w")).where("source IS NOT NULL")
+    return reg.groupBy("source").agg(F.max("w.scale").alias("temp_unit"), F.max("w.solubility").alias("logs_unit"))
 
 
 # -- units by posterior -----------------------------------------------------------------------------------------
@@ -223,8 +276,8 @@ def with_units(rows: DataFrame, q: Quantity, usual: dict[str, str] | None = None
     table = F.array(*[F.lit(d) for d in dens])
     start = {s: [1.0 if n == usual.get(s, names[0]) else PRIOR / len(names) for n in names] for s in ("",)}
     fitted = rows.sparkSession.createDataFrame([(s, w) for s, w in (start | weights).items()], "_src string, _w array<double>")
-    like = F.array(*[F.element_at(table, F.expr(_bin(q, u.to_target)) + 1) * F.expr(f"CAST({u.slope} AS DOUBLE)") for u in q.units])
-    got = live.join(F.broadcast(fitted), "_src", "left")  # one row per source, checked by its size: sources are few
+    like = F.when(F.col("_unit").isNull() & F.col("x").isNotNull(), F.array(*[F.element_at(table, F.expr(_bin(q, u.to_target)) + 1) * F.expr(f"CAST({u.slope} AS DOUBLE)") for u in q.units]))
+    got = live.join(F.broadcast(fitted) if len(weights) <= MOST_SOURCES else fitted, "_src", "left")  # one row per source, checked
     got = got.withColumn("_w", F.coalesce("_w", F.array(*[F.lit(x) for x in start[""]]))).withColumn("_l", F.zip_with(like, "_w", lambda a, b: a * b))
     total = F.aggregate("_l", F.lit(0.0), lambda a, b: a + b)
     got = got.withColumn("_p", F.transform("_l", lambda v: v / total))
@@ -236,34 +289,60 @@ def with_units(rows: DataFrame, q: Quantity, usual: dict[str, str] | None = None
     return got.withColumn("target", _converted(q, F.col("unit"))).drop("_src", "_text", "_reg", "_unit", "_w", "_l", "_p")
 
 
-def convert_measurements(unified: DataFrame, registry: DataFrame) -> DataFrame:
+def _measured(unified: DataFrame, registry: DataFrame, scratch: Scratch) -> DataFrame:
+    """(rec_key, src, mw, temp_C, logS, words, temp_unit, logs_unit), written once: both fields are read from it twice.
+
+    Sources that the registry lacks are fitted as one: their names may be as many as the rows.
+    """
+    by = stated_by_source(registry)
+    num = lambda c: F.when(usable(F.col(c)), F.col(c)).alias(c)
+    base = unified.select(F.col("rec_id").alias("rec_key"), plain_source(F.col("source")).alias("_s"), F.when((F.col("mol_weight") > 0) & ~F.isnan("mol_weight"), F.col("mol_weight")).alias("mw"), num("temp_C"), num("logS"), stated(F.col("assay_description")).alias("words"))
+    return scratch.write(base.join(by, base._s == by.source, "left").withColumnRenamed("source", "src").drop("_s"))
+
+
+FIELDS = {"temp_C": (CELSIUS, lambda x: stated_temperature(F.col("words"), x), "temp_unit"), "logS": (LOG_MOLAR, lambda x: F.col("words.solubility"), "logs_unit")}
+
+
+def convert_measurements(unified: DataFrame, registry: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(tab, rec_key, field, recorded, unit, how, posterior, uncertain, value) for temp_C and logS of unified.
 
     value is in °C and log10(mol/L). Placeholders, NaN, infinities and nulls have no unit and a null value; so has a
     mass concentration without a molar mass (its unit is still named). ``uncertain`` marks units got by a posterior
     under SURE. Repeated rows are converted alike; extra columns are ignored; an empty table gives an empty result.
     """
-    by = stated_by_source(registry)
-    base = unified.select(F.col("rec_id").alias("rec_key"), plain_source(F.col("source")).alias("src"), F.col("assay_description").alias("text"), F.when((F.col("mol_weight") > 0) & ~F.isnan("mol_weight"), F.col("mol_weight")).alias("mw"), *[F.col(c).alias(f"_{c}") for c in ("temp_C", "logS")])
-    # sources that the registry lacks are fitted as one: their names may be as many as the rows
-    base = base.join(by, base.src == by.source, "left").withColumn("src", F.col("source")).drop("source")
-    out = []
-    for field, q, says, src in (("temp_C", CELSIUS, lambda x: stated_temperature(F.col("text"), x), "temp_unit"), ("logS", LOG_MOLAR, lambda x: stated_solubility(F.col("text")), "logs_unit")):
-        x = F.when(usable(F.col(f"_{field}")), F.col(f"_{field}"))
-        rows = base.select("rec_key", "src", "mw", x.alias("x"), "text", F.col(src).alias("by_source"))
-        rows = rows.withColumn("stated", F.when(F.col("x").isNotNull() & F.col("text").isNotNull(), says(F.col("x")))).drop("text")
+    base, out = _measured(unified, registry, scratch or Scratch(unified.sparkSession, "p6")), []
+    for field, (q, says, by) in FIELDS.items():
+        rows = base.select("rec_key", "src", "mw", F.col(field).alias("x"), F.when(F.col(field).isNotNull(), says(F.col(field))).alias("stated"), F.col(by).alias("by_source"))
         got = with_units(rows, q)
         out.append(got.select(F.lit("unified").alias("tab"), "rec_key", F.lit(field).alias("field"), F.col("x").alias("recorded"), "unit", "how", "posterior", (F.col("posterior") < SURE).alias("uncertain"), F.col("target").alias("value")))
     return out[0].unionByName(out[1])
 
 
+def held_out_units(unified: DataFrame, registry: DataFrame, parts: int = 5, scratch: Scratch | None = None) -> DataFrame:
+    """(field, unit, rows, right, sure, sure_right): how well the mixtures find units that are stated but hidden from them.
+
+    Every ``parts``-th row by hash loses its text and its source's remark; the mixture fitted on all rows then gives
+    its unit. ``sure`` counts those it doesn't flag as uncertain, ``sure_right`` the right ones among them.
+    """
+    base, out = _measured(unified, registry, scratch or Scratch(unified.sparkSession, "p6")), []
+    hide = F.pmod(F.xxhash64("rec_key"), F.lit(parts)) == 0
+    for field, (q, says, by) in FIELDS.items():
+        truth = F.when(F.col(field).isNotNull(), says(F.col(field)))
+        rows = base.withColumn("truth", truth).select("rec_key", "src", "mw", F.col(field).alias("x"), "truth", F.when(~hide, F.col("truth")).alias("stated"), F.when(~hide, F.col(by)).alias("by_source"), hide.alias("hidden"))
+        got = with_units(rows, q).where("hidden AND truth IS NOT NULL AND x IS NOT NULL")
+        right, sure = F.col("unit") == F.col("truth"), F.col("posterior") >= SURE
+        count = lambda c: F.sum(c.cast("long"))
+        out.append(got.groupBy(F.lit(field).alias("field"), F.col("truth").alias("unit")).agg(F.count("*").alias("rows"), count(right).alias("right"), count(sure).alias("sure"), count(right & sure).alias("sure_right")))
+    return out[0].unionByName(out[1])
+
+
 def convert_temperatures(challenge: DataFrame) -> DataFrame:
     """Like convert_measurements for temperature_K of the challenge table, in K. Here 0, -999 and 9999 are placeholders
     and numbers may exceed 900: tenths and hundredths of a kelvin occur."""
     t = F.col("temperature_K")
     x = F.when(~F.isnan(t) & (F.abs(t) != float("inf")) & ~t.isin(0.0, -999.0, 9999.0), t)
-    rows = challenge.select(F.col("item_no").alias("rec_key"), F.lit(None).cast("string").alias("src"), F.lit(None).cast("double").alias("mw"), x.alias("x"), F.lit(None).cast("string").alias("by_source"), F.col("remark").alias("text"))
-    rows = rows.withColumn("stated", F.when(F.col("x").isNotNull() & F.col("text").isNotNull(), stated_temperature(F.col("text"), F.col("x")))).drop("text")
+    rows = challenge.select(F.col("item_no").alias("rec_key"), F.lit(None).cast("string").alias("src"), F.lit(None).cast("double").alias("mw"), x.alias("x"), F.lit(None).cast("string").alias("by_source"), stated(F.col("remark")).alias("words"))
+    rows = rows.withColumn("stated", F.when(F.col("x").isNotNull(), stated_temperature(F.col("words"), F.col("x")))).drop("words")
     got = with_units(rows, KELVIN)
     return got.select(F.lit("second_challenge_predict_aqueous_solubility").alias("tab"), "rec_key", F.lit("temperature_K").alias("field"), F.col("x").alias("recorded"), "unit", "how", "posterior", (F.col("posterior") < SURE).alias("uncertain"), F.col("target").alias("value"))
 

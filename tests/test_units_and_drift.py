@@ -22,6 +22,7 @@ def convert(spark, rows, extra=False):
 
 TEXTS = {
     "ln of the molar solubility": "ln mol/L",
+    "value = ln(c / mol L-1)": "ln mol/L",
     "Natural logarithm, mol/L": "ln mol/L",
     "log10 of mmol/L": "log10 mmol/L",
     "logS (mM)": "log10 mmol/L",
@@ -43,13 +44,35 @@ TEXTS = {
 
 def test_stated_solubility(spark):
     df = spark.createDataFrame([(t,) for t in TEXTS], "t string")
-    assert {r["t"]: r["u"] for r in df.select("t", units.stated_solubility(F.col("t")).alias("u")).collect()} == TEXTS
+    assert {r["t"]: r["u"] for r in df.select("t", units.stated(F.col("t")).solubility.alias("u")).collect()} == TEXTS
 
 
 def test_stated_temperature(spark):
-    cases = [("Run at 77 F", 77.0, "F"), ("dried at 212 F", 77.0, None), ("readings in degF", 77.0, "F"), ("72 F in the room, cell in Celsius", 25.0, "C"), ("T = 298.15 kelvin", 298.15, "K"), ("Melts at 412 K", 25.0, None), (None, 25.0, None)]
-    df = spark.createDataFrame(cases, "t string, x double, want string")
-    assert [(r["want"], r["got"]) for r in df.select("want", units.stated_temperature(F.col("t"), F.col("x")).alias("got")).collect()] == [(w, w) for _, _, w in cases]
+    cases = [
+        ("Run at 77 F", 77.0, "F"),
+        ("dried at 212 F", 77.0, None),
+        ("dried at 77 F", 77.0, None),
+        ("readings in degF", 77.0, "F"),
+        ("72 F in the room, cell in Celsius", 25.0, "C"),
+        ("72 F in the room, cell in Celsius", 72.0, "C"),  # a number that happens to be the recorded one
+        ("Bath 72 F outside, cell in Celsius", 72.0, "C"),
+        ("kept at 298 K before, then at the value in °C", 298.0, "C"),
+        ("T = 298.15 kelvin", 298.15, "K"),
+        ("T(F)=77", 77.0, "F"),
+        ("T/K from the logger; melts at 77 F", 298.0, "K"),
+        ("Melts at 412 K", 25.0, None),
+        ("", 25.0, None),
+        (None, 25.0, None),
+    ]
+    df = spark.createDataFrame(cases, "t string, x double, want string").withColumn("w", units.stated(F.col("t")))
+    assert [(r["want"], r["got"]) for r in df.select("want", units.stated_temperature(F.col("w"), F.col("x")).alias("got")).collect()] == [(w, w) for _, _, w in cases]
+
+
+def test_held_out_units(spark, sf):
+    got = units.held_out_units(spark.read.parquet(f"{sf}/unified.parquet"), spark.read.parquet(f"{sf}/source_registry.parquet"))
+    rows = {(r["field"], r["unit"]): r for r in got.collect()}
+    assert all(r["right"] <= r["rows"] and r["sure_right"] <= r["sure"] <= r["rows"] for r in rows.values())
+    assert rows[("temp_C", "K")]["right"] == rows[("temp_C", "K")]["rows"]
 
 
 @pytest.mark.parametrize("extra", [False, True])
