@@ -176,7 +176,7 @@ def test_window_minima_meet():
     texts = ["xx" + run + "yyy", "q" * 40 + run]
     flat, offsets = code_points(texts)
     h, own = grams(flat, offsets, 24)
-    low, whose, _ = window_minima(h, own, 8)
+    low, whose, _, _ = window_minima(h, own, 8)
     assert set(low[whose == 0]) & set(low[whose == 1])
 
 
@@ -314,7 +314,7 @@ def test_leaks(spark, monkeypatch):
         t = plain(t)
         wins = {t[k : k + 60] for k in range(len(t) - 59)}
         want |= {(doc, k) for k, x in items if any(plain(x)[j : j + 60] in wins for j in range(len(plain(x)) - 59))}
-    for size in (20_000_000, 300):  # one pass, and several
+    for size in (20_000_000, 300):  # items in memory, and a join of sketches
         monkeypatch.setattr(leaks, "PASS_CHARS", size)
         got = leaks.leaks(d, i)
         assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want and {(101, 0), (107, 4)} <= want
@@ -324,6 +324,25 @@ def test_leaks(spark, monkeypatch):
     assert leaks.leaks(d.where("false"), i).count() == 0 and leaks.leaks(d, i.where("false")).count() == 0
 
 
+@given(st.text("ab", max_size=150), st.text("ab", max_size=150), st.integers(0, 80))
+@settings(max_examples=150, deadline=None)
+def test_leaks_of_repetitive_texts(a, b, n):
+    item, doc = "ab" * n + b, a + "ab" * n + "ba" + b
+    want = max((k for k in range(60, len(item) + 1) if any(item[i : i + k] in doc for i in range(len(item) - k + 1))), default=0)
+    got = list(leaks.Items([(1, item)]).runs(["x", doc]))
+    assert [(d, i, r) for d, i, r, _ in got] == ([(1, 1, want)] if want else [])
+
+
+@pytest.mark.parametrize("size", [20_000_000, 1])
+def test_leaks_of_repeated_ids(spark, size, monkeypatch):
+    monkeypatch.setattr(leaks, "PASS_CHARS", size)
+    rng = random.Random(2)
+    t = "".join(rng.choice(string.ascii_lowercase) for _ in range(260))
+    d = spark.createDataFrame([(1, t[:70]), (1, t[:250]), (1, t[:250]), (2, t[100:])], "doc_id long, text string")
+    i = spark.createDataFrame([(7, t), (7, t[:240]), (7, None)], "item_id long, text string")
+    assert {tuple(r)[:3] for r in leaks.leaks(d, i).collect()} == {(1, 7, 250), (2, 7, 160)}
+
+
 # -- 9 ----------------------------------------------------------------------------------------------------------
 
 
