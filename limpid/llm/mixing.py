@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import heapq
 import os
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,19 +17,21 @@ from limpid.runtime import Scratch, plain_source
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 #: The seeded order of a pattern's documents is laid out in so many buckets, ranked each by itself.
 BUCKETS = 4096
-#: Distinct sets of sources that one text may stand in; the flow is solved over these.
+#: Distinct sets of sources that one text may stand in, and sources; the flow is solved over these. More raise an error.
 MAX_PATTERNS = 100_000
 
 
 def count_tokens(texts: DataFrame, path: str = TOKENIZER) -> DataFrame:
     """Adds ``tokens``, the length of ``text`` under the tokenizer file at path (byte-level BPE, no special tokens)."""
     fields = [f for f in texts.schema.fields if f.name != "text"]
+    if os.path.exists(path):  # executors get the file from the driver, else they need it at the same path
+        texts.sparkSession.sparkContext.addFile(path)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tok = Tokenizer.from_file(path)
+        tok = Tokenizer.from_file(found if os.path.exists(found := SparkFiles.get(os.path.basename(path))) else path)
         tok.encode_special_tokens = True
         for pdf in batches:
             n: list[int] = []
@@ -40,83 +44,151 @@ def count_tokens(texts: DataFrame, path: str = TOKENIZER) -> DataFrame:
 
 
 class Flow:
-    """Min-cost flow on a small graph by successive shortest paths (costs are small integers)."""
+    """Min-cost flow with integer costs of 0 or more: shortest distances under potentials (Dijkstra), and for each of
+    them a blocking flow over the arcs on shortest paths. The rounds are as many as there are distances."""
 
     def __init__(self) -> None:
         self.to: list[int] = []
         self.cap: list[int] = []
         self.cost: list[int] = []
-        self.out: dict[int, list[int]] = {}
+        self.out: list[list[int]] = []
 
     def arc(self, a: int, b: int, cap: int, cost: int = 0) -> int:
         k = len(self.to)
+        while len(self.out) <= max(a, b):
+            self.out.append([])
         for x, y, c, w in ((a, b, cap, cost), (b, a, 0, -cost)):
-            self.out.setdefault(x, []).append(len(self.to))
+            self.out[x].append(len(self.to))
             self.to.append(y)
             self.cap.append(c)
             self.cost.append(w)
         return k
 
+    def _distances(self, s: int, up: list[int]) -> list[int | None]:
+        dist: list[int | None] = [None] * len(self.out)
+        dist[s], heap = 0, [(0, s)]
+        while heap:
+            d, a = heapq.heappop(heap)
+            if d > dist[a]:
+                continue
+            for k in self.out[a]:
+                b = self.to[k]
+                if self.cap[k] > 0:
+                    e = d + self.cost[k] + up[a] - up[b]
+                    if dist[b] is None or e < dist[b]:
+                        dist[b] = e
+                        heapq.heappush(heap, (e, b))
+        return dist
+
+    def _levels(self, s: int, up: list[int]) -> list[int]:
+        level, row = [-1] * len(self.out), [s]
+        level[s] = 0
+        while row:
+            more = []
+            for a in row:
+                for k in self.out[a]:
+                    b = self.to[k]
+                    if self.cap[k] > 0 and level[b] < 0 and self.cost[k] + up[a] == up[b]:
+                        level[b] = level[a] + 1
+                        more.append(b)
+            row = more
+        return level
+
+    def _block(self, s: int, t: int, up: list[int], level: list[int]) -> int:
+        """A blocking flow over arcs of no reduced cost that lead one level on."""
+        at, path, a, flow = [0] * len(self.out), [], s, 0
+        while True:
+            if a == t:
+                push = min(self.cap[k] for k in path)
+                for k in path:
+                    self.cap[k] -= push
+                    self.cap[k ^ 1] += push
+                flow += push
+                cut = next(i for i, k in enumerate(path) if not self.cap[k])
+                a = self.to[path[cut] ^ 1]
+                del path[cut:]
+            out = self.out[a]
+            while at[a] < len(out):
+                k = out[at[a]]
+                b = self.to[k]
+                if self.cap[k] > 0 and level[b] == level[a] + 1 and self.cost[k] + up[a] == up[b]:
+                    break
+                at[a] += 1
+            else:
+                if not path:
+                    return flow
+                a = self.to[path.pop() ^ 1]
+                at[a] += 1
+                continue
+            path.append(out[at[a]])
+            a = b
+
     def run(self, s: int, t: int) -> tuple[int, int]:
         """(flow, cost) of a cheapest maximal flow from s to t."""
         flow = cost = 0
-        while True:
-            dist, via, queue, queued = {s: 0}, {}, [s], {s}
-            while queue:
-                a = queue.pop(0)
-                queued.discard(a)
-                for k in self.out.get(a, []):
-                    b = self.to[k]
-                    if self.cap[k] > 0 and dist[a] + self.cost[k] < dist.get(b, 1 << 60):
-                        dist[b], via[b] = dist[a] + self.cost[k], k
-                        if b not in queued:
-                            queued.add(b)
-                            queue.append(b)
-            if t not in dist:
-                return flow, cost
-            path, b = [], t
-            while b != s:
-                path.append(via[b])
-                b = self.to[via[b] ^ 1]
-            push = min(self.cap[k] for k in path)
-            for k in path:
-                self.cap[k] -= push
-                self.cap[k ^ 1] += push
-            flow, cost = flow + push, cost + push * dist[t]
-
-
-def route(patterns: list[tuple[tuple[str, ...], int]], shares: dict[str, float], caps: dict[str, int], total: int) -> tuple[dict[tuple[int, str], int], int]:
+        up = [0] * len(self.out)
+        while (dist := self._distances(s, up))[t] is not None:
+            far = max(d for d in dist if d is not None)
+            up = [u + (far if d is None else d) for u, d in zip(up, dist)]
+            while (level := self._levels(s, up))[t] >= 0:
+                pushed = self._block(s, t, up, level)
+                flow, cost = flow + pushed, cost + pushed * (up[t] - up[s])
+        return flow, cost
+
+    def reached(self, s: int) -> set[int]:
+        """Nodes to which more could still flow from s."""
+        seen, todo = {s}, [s]
+        while todo:
+            for k in self.out[todo.pop()]:
+                if self.cap[k] > 0 and self.to[k] not in seen:
+                    seen.add(self.to[k])
+                    todo.append(self.to[k])
+        return seen
+
+
+Patterns = list[tuple[tuple[str, ...], int]]
+
+
+def route(patterns: Patterns, shares: dict[str, float], caps: dict[str, int], total: int, costs: bool = True) -> tuple[dict[tuple[int, str], int], int, set[str]]:
     """Tokens of each pattern that go to each source so that the sources get share x total, at least repetition.
 
     The r-th use of a pattern's tokens costs r - 1 (a convex cost), so second uses are only made where first uses run
-    out. A source takes a pattern's tokens at most its own cap times, a pattern gives them at most its sources'
-    highest cap times. Returns the flow by (pattern, source) and the total routed.
+    out; without ``costs`` any maximal flow will do. A source takes a pattern's tokens at most its own cap times, a
+    pattern gives them at most its sources' highest cap times. Returns the flow by (pattern, source), the total
+    routed, and the sources that limit it (none if all get their share).
     """
     g, s, t = Flow(), 0, 1
     source = {name: 2 + i for i, name in enumerate(sorted(shares))}
     arcs = {}
     for p, (names, tokens) in enumerate(patterns):
-        node = 2 + len(source) + p
-        for r in range(max(caps[n] for n in names)):
-            g.arc(s, node, tokens, r)
+        node, most = 2 + len(source) + p, max(caps[n] for n in names)
+        for r in range(most if costs else 1):
+            g.arc(s, node, tokens if costs else tokens * most, r)
         for n in names:
             arcs[p, n] = g.arc(node, source[n], tokens * caps[n])
     for n, k in source.items():
         g.arc(k, t, round(shares[n] * total))
     flow, _ = g.run(s, t)
-    return {key: g.cap[k ^ 1] for key, k in arcs.items() if g.cap[k ^ 1] > 0}, flow
+    more = g.reached(s)
+    short = {n for n, k in source.items() if k not in more} if flow < sum(round(x * total) for x in shares.values()) else set()
+    return {key: g.cap[k ^ 1] for key, k in arcs.items() if g.cap[k ^ 1] > 0}, flow, short
+
 
+def largest_total(patterns: Patterns, shares: dict[str, float], caps: dict[str, int]) -> int:
+    """The largest total (in tokens) at which every source still reaches its share.
 
-def largest_total(patterns: list[tuple[tuple[str, ...], int]], shares: dict[str, float], caps: dict[str, int]) -> int:
-    """The largest total (in tokens) at which every source still reaches its share."""
-    lo, hi = 0, sum(tokens * max(caps[n] for n in names) for names, tokens in patterns)
-    while hi - lo > max(1, hi // 1_000_000):
-        mid = (lo + hi + 1) // 2
-        if route(patterns, shares, caps, mid)[1] >= sum(round(s * mid) for s in shares.values()):
-            lo = mid
-        else:
-            hi = mid - 1
-    return lo
+    From an upper bound down: the minimum cut of a total that can't be reached names sources whose patterns hold too
+    little, and the total at which just these would be served is the next to try. Each cut lowers the total for good,
+    so a few maximal flows are enough.
+    """
+    total = sum(tokens * max(caps[n] for n in names) for names, tokens in patterns)
+    while total > 0:
+        _, flow, short = route(patterns, shares, caps, total, costs=False)
+        if not short:
+            return total
+        served = flow - sum(round(shares[n] * total) for n in shares if n not in short)
+        total = min(total - 1, int(served / sum(shares[n] for n in short)))
+    return 0
 
 
 def mix(documents: DataFrame, targets: DataFrame, scratch: Scratch, total: int | None = None, tokenizer: str = TOKENIZER, seed: int = 42) -> DataFrame:
@@ -135,13 +207,17 @@ def mix(documents: DataFrame, targets: DataFrame, scratch: Scratch, total: int |
     largest max_repeats holds. An empty table gives an empty result.
     """
     spark = documents.sparkSession
-    want = {r["s"]: (r["share"], r["reps"]) for r in targets.select(plain_source(F.col("source")).alias("s"), "target_share", "max_repeats").where("s IS NOT NULL AND target_share > 0 AND max_repeats > 0").groupBy("s").agg(F.sum("target_share").alias("share"), F.max("max_repeats").alias("reps")).limit(MAX_PATTERNS).collect()}
+    rows = targets.select(plain_source(F.col("source")).alias("s"), "target_share", "max_repeats").where("s IS NOT NULL AND target_share > 0 AND max_repeats > 0").groupBy("s").agg(F.sum("target_share").alias("share"), F.max("max_repeats").alias("reps")).limit(MAX_PATTERNS + 1).collect()
+    if len(rows) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} sources")
+    want = {r["s"]: (r["share"], r["reps"]) for r in rows}
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", plain_source(F.col("source")).alias("source")).where("doc_id IS NOT NULL AND text IS NOT NULL AND source IS NOT NULL")
     docs = docs.where(F.col("source").isin(sorted(want))) if want else docs.where("false")
-    held = docs.withColumn("key", F.md5("text"))
-    sized = scratch.write(count_tokens(held.groupBy("key").agg(F.any_value("text").alias("text")), tokenizer).where("tokens > 0"))
-    places = held.groupBy("key", "source").agg(F.min("doc_id").alias("doc_id"))
-    texts = scratch.write(places.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("source", "doc_id"))).alias("at")).join(sized, "key").withColumn("pattern", F.transform("at", lambda x: x.source)))
+    # tokens are counted where the documents lie; no text is shuffled
+    sized = count_tokens(docs.withColumn("key", F.md5("text")), tokenizer).where("tokens > 0")
+    places = sized.groupBy("key", "source").agg(F.min("doc_id").alias("doc_id"), F.any_value("tokens").alias("tokens"))
+    texts = places.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("source", "doc_id"))).alias("at"), F.any_value("tokens").alias("tokens"))
+    texts = scratch.write(texts.withColumn("pattern", F.transform("at", lambda x: x.source)))
     sums = [(tuple(r["pattern"]), int(r["tokens"])) for r in texts.groupBy("pattern").agg(F.sum("tokens").alias("tokens")).orderBy("pattern").limit(MAX_PATTERNS + 1).collect()]
     if len(sums) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} sets of sources")
@@ -150,7 +226,7 @@ def mix(documents: DataFrame, targets: DataFrame, scratch: Scratch, total: int |
     shares, caps = {n: want[n][0] / whole for n in there}, {n: int(want[n][1]) for n in there}
     routed: dict[tuple[int, str], int] = {}
     if sums:
-        routed, _ = route(sums, shares, caps, largest_total(sums, shares, caps) if total is None else total)
+        routed, _, _ = route(sums, shares, caps, largest_total(sums, shares, caps) if total is None else total)
     lines = []  # each source takes a stretch of the endless line of passes over the pattern's documents
     for p, (names, tokens) in enumerate(sums):
         at = 0

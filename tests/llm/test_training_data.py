@@ -3,6 +3,7 @@
 import itertools
 import random
 import string
+import time
 
 import numpy as np
 import pandas as pd
@@ -346,8 +347,37 @@ def test_leaks_of_repeated_ids(spark, size, monkeypatch):
 # -- 9 ----------------------------------------------------------------------------------------------------------
 
 
+@given(st.lists(st.tuples(st.sets(st.sampled_from("abcd"), min_size=1), st.integers(1, 60)), min_size=1, max_size=6), st.integers(1, 3), st.integers(1, 3))
+@settings(max_examples=60, deadline=None)
+def test_largest_total_is_the_least_cut(patterns, cap, other):
+    patterns = [(tuple(sorted(n)), k) for n, k in patterns]
+    names = sorted({n for p, _ in patterns for n in p})
+    shares, caps = {n: 1 / len(names) for n in names}, {n: cap if n in "ab" else other for n in names}
+    worst = min(
+        sum(k * min(max(caps[n] for n in p), sum(caps[n] for n in p if n in some)) for p, k in patterns if set(p) & set(some)) / sum(shares[n] for n in some)
+        for r in range(1, len(names) + 1)
+        for some in itertools.combinations(names, r)
+    )
+    total = mixing.largest_total(patterns, shares, caps)
+    assert abs(total - worst) <= len(names)
+    got, flow, short = mixing.route(patterns, shares, caps, total)
+    assert not short and flow == sum(round(s * total) for s in shares.values())
+    assert all(sum(v for (p, n), v in got.items() if n == m) == round(shares[m] * total) for m in names)
+
+
+def test_many_patterns_are_routed_in_seconds():
+    rng = random.Random(5)
+    names = [f"s{i}" for i in range(20)]
+    patterns = list({tuple(sorted(rng.sample(names, rng.randrange(1, 7)))): rng.randrange(1, 10**6) for _ in range(10_000)}.items())
+    shares, caps = {n: 1 / 20 for n in names}, {n: 1 + i % 4 for i, n in enumerate(names)}
+    at = time.time()
+    total = mixing.largest_total(patterns, shares, caps)
+    _, flow, short = mixing.route(patterns, shares, caps, total)
+    assert flow == sum(round(s * total) for s in shares.values()) and not short and time.time() - at < 60
+
+
 def test_flow_prefers_first_uses():
-    got, total = mixing.route([(("a",), 100), (("a", "b"), 100)], {"a": 0.5, "b": 0.5}, {"a": 2, "b": 2}, 200)
+    got, total, _ = mixing.route([(("a",), 100), (("a", "b"), 100)], {"a": 0.5, "b": 0.5}, {"a": 2, "b": 2}, 200)
     assert total == 200 and got == {(0, "a"): 100, (1, "b"): 100}
     assert mixing.largest_total([(("a",), 100), (("b",), 10)], {"a": 0.5, "b": 0.5}, {"a": 1, "b": 3}) == pytest.approx(60, abs=2)
 
