@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
@@ -56,6 +57,23 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return min(last[-1], most + 1)
 
 
+def token_distance(a: tuple[str, ...], b: tuple[str, ...], most: int) -> int:
+    """Edits that make the token set a from b, whatever the order: matched tokens cost their edits, tokens without a
+    partner their letters; most + 1 if it is more. The assignment is the best of all."""
+    if len(a) < len(b):
+        a, b = b, a
+    best = {0: 0}  # cost by the set of tokens of a that are taken
+    for y in b:
+        more: dict[int, int] = {}
+        for taken, cost in best.items():
+            options = [(taken, len(y))] + [(taken | 1 << i, edit_distance(x, y, most)) for i, x in enumerate(a) if not taken >> i & 1]
+            for mask, d in options:
+                if cost + d <= most and cost + d < more.get(mask, most + 1):
+                    more[mask] = cost + d
+        best = more
+    return min((cost + sum(len(x) for i, x in enumerate(a) if not taken >> i & 1) for taken, cost in best.items()), default=most + 1)
+
+
 class Matcher:
     """Maps one value at a time; built from the rows (id, canonical name, abbreviation, synonyms, structure) of the list."""
 
@@ -64,6 +82,7 @@ class Matcher:
         self.exact: dict[str, int] = {}
         self.structure: dict[str, int] = {}
         self.aliases: dict[str, int] = {}
+        self.sets: dict[str, tuple[tuple[str, ...], Counter]] = {}
         auto = ahocorasick.Automaton()
         for sid, name, short, synonyms, smiles in sorted(rows, key=lambda r: r[0]):
             long = [x for x in (name, *(synonyms or "").split("|")) if x and x.strip()]
@@ -75,6 +94,7 @@ class Matcher:
                 auto.add_word(plain, (len(plain), self.exact[_solid(plain)]))
                 if alias in long:
                     self.aliases.setdefault(_solid(plain), sid)
+                    self.sets.setdefault(_solid(plain), (tuple(_TOKEN.findall(plain)), Counter(_solid(plain))))
             if smiles and smiles.strip():
                 self.structure.setdefault(smiles.strip(), sid)
         auto.make_automaton()
@@ -140,16 +160,29 @@ class Matcher:
         return True
 
     def _similar(self, plain: str) -> int:
-        """Token-set similarity: qualifiers aside, the alias with the fewest typing errors for its length."""
+        """Token-set similarity: qualifiers aside, the alias with the fewest errors for its length.
+
+        Errors are the edits between the token sets, in any order, also with two neighbouring tokens as one, or between
+        the letters as a whole where tokens were parted or run together, whichever are fewer.
+        """
         tokens = _TOKEN.findall(plain)
         core = [w for w in tokens if w not in QUALIFIERS]
         best: list[tuple[float, int]] = []
-        for text in dict.fromkeys(("".join(tokens), "".join(core), "".join(core[:-1]) if len(core) > 1 and core[-1].isdigit() else "")):
+        for words in dict.fromkeys((tuple(tokens), tuple(core), tuple(core[:-1]) if len(core) > 1 and core[-1].isdigit() else ())):
+            text = "".join(words)
             if not text:
                 continue
+            letters = Counter(text)
             for alias, sid in self.aliases.items():
                 most = max(1, int(len(alias) * ERROR_RATE))
+                parts, held = self.sets[alias]
+                # no way of counting has fewer errors than the letters that only one side holds
+                if abs(len(text) - len(alias)) > most or (letters - held).total() > most or (held - letters).total() > most:
+                    continue
                 d = edit_distance(text, alias, most)
+                if d and (len(words) > 1 or len(parts) > 1):
+                    ways = [words, *(words[:i] + (words[i] + words[i + 1],) + words[i + 2 :] for i in range(len(words) - 1))]
+                    d = min(d, *(token_distance(w, parts, most) for w in ways))
                 if d <= most and (len(alias) > 3 or d == 0):
                     best.append((d / len(alias), sid))
         if not best:
@@ -163,9 +196,9 @@ def map_values(records: DataFrame, reference: DataFrame, column: str = "solvent"
     """(rec_id, solvent_id) for every row whose value is neither null, blank nor exactly a canonical name.
 
     An automaton over all names, synonyms and abbreviations finds embedded mentions; the longest non-overlapping ones
-    win. Mentions of two entries and placeholders give -1. Other values, also
-    those with words beside the mention that are no mere qualifiers, go to the alias with the fewest typing errors per letter, -1 if there are too many or two
-    entries are as near. Structures only count as the whole value. The reference list is small by its nature and
+    win. Mentions of two entries and placeholders give -1. Other values, also those with words beside the mention that
+    are no mere qualifiers, go to the alias whose token set is the nearest, in any order and with typing errors, -1 if
+    there are too many errors or two entries are as near. Structures only count as the whole value. The reference list is small by its nature and
     checked to be (10,000 rows); rows are mapped where they lie, without a shuffle, and every worker remembers the
     values it has met. Very long values are read whole. Repeated rows are mapped alike; extra columns are ignored.
     """

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from limpid.llm.seeds import seed_texts
@@ -276,47 +277,78 @@ def thresholds(counts: pd.DataFrame) -> dict[str, float]:
     return {"": common} | {str(lang): drawn(rows, common, SHRINK_TOXIC) for lang, rows in counts[counts.lang != ""].groupby("lang")}
 
 
-def train(rated: pd.DataFrame, background: pd.DataFrame | None = None, seed: int = 7) -> Classifier:
+@dataclass
+class Lessons:
+    """What classifiers are fitted on: token ids, marks and weights of the examples and of the seed sentences."""
+
+    docs: list[np.ndarray]
+    toxic: np.ndarray
+    weight: np.ndarray
+    seed_docs: list[np.ndarray]
+    seed_toxic: np.ndarray
+
+    def fitted(self, seed: int, rows: np.ndarray, epochs: int, steps: int, ask: np.ndarray) -> tuple[Classifier, np.ndarray]:
+        """A classifier fitted on some of the examples, and its scores of others."""
+        one = Classifier(seed)
+        one.fit([self.docs[i] for i in np.flatnonzero(rows)] + self.seed_docs, np.concatenate([self.toxic[rows], self.seed_toxic]), np.concatenate([self.weight[rows], np.full(len(self.seed_docs), 0.5)]), epochs, steps)
+        known = np.zeros(BUCKETS, bool)
+        known[list(one.known)] = True
+        return one, one.scores_of([np.where(known[self.docs[i]], self.docs[i], 0) for i in np.flatnonzero(ask)])
+
+
+Job = tuple[int, np.ndarray, int, int, np.ndarray]
+
+
+def fit_here(lessons: Lessons, jobs: list[Job]) -> list[tuple[Classifier, np.ndarray]]:
+    return [lessons.fitted(*job) for job in jobs]
+
+
+def fit_in_tasks(spark: SparkSession) -> Callable[[Lessons, list[Job]], list[tuple[Classifier, np.ndarray]]]:
+    """Fits each classifier in a task of its own; the bounded lessons are broadcast, the fixed-size weights come back."""
+
+    def fit(lessons: Lessons, jobs: list[Job]) -> list[tuple[Classifier, np.ndarray]]:
+        # plain arrays travel both ways, so that executors need no copy of the package
+        sent = spark.sparkContext.broadcast((lessons.docs, lessons.toxic, lessons.weight, lessons.seed_docs, lessons.seed_toxic))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for i in pdf["id"]:
+                    one, said = Lessons(*sent.value).fitted(*jobs[i])
+                    yield pd.DataFrame({"id": [i], "got": [pickle.dumps((one.seed, one.known, one.weights, said))]})
+
+        rows = spark.range(0, len(jobs), 1, len(jobs)).mapInPandas(run, "id long, got binary").collect()
+        sent.unpersist()
+        got = [pickle.loads(bytes(r["got"])) for r in sorted(rows, key=lambda r: r["id"])]
+        return [(Classifier(number, known, weights=weights), said) for number, known, weights, said in got]
+
+    return fit
+
+
+def train(rated: pd.DataFrame, background: pd.DataFrame | None = None, seed: int = 7, fit: Callable[[Lessons, list[Job]], list[tuple[Classifier, np.ndarray]]] = fit_here) -> Classifier:
     """A classifier from rows (text, lang, toxic in 0..1), helped by seed sentences and by ordinary text.
 
     Raters err, and some ordinary text is not: examples that are contradicted by classifiers fitted on the other folds
     are left out of the fit. No rating is held out for the thresholds: ``model.counts`` has how often texts of a
     language were rated so at a score, each scored by a classifier that was fitted on the other folds (by hash, so
-    copies stay together). A fixed seed makes the fit repeatable.
+    copies stay together). A fixed seed makes the fit repeatable, wherever the classifiers are fitted.
     """
-    model = Classifier(seed)
     seeds, kinds = seed_texts()
-    fit = rated.assign(weight=1.0)
+    given = rated.assign(weight=1.0)
     if background is not None and len(background):
-        fit = pd.concat([fit, background.assign(toxic=0.0, weight=BACKGROUND_WEIGHT)], ignore_index=True)
-    fold = (fit.text.map(_bucket).to_numpy(np.int64) // 6) % FOLDS if len(fit) else np.zeros(0, np.int64)
-    toxic = fit.toxic.to_numpy(float)
-
-    given = fit.weight.to_numpy(float)
-    raw = Classifier()
-    docs, seed_docs = [raw.ids(t) for t in fit.text], [raw.ids(t) for t in seeds]
-
-    def learn(one: Classifier, rows: np.ndarray, epochs: int, steps: int) -> None:
-        one.fit([docs[i] for i in np.flatnonzero(rows)] + seed_docs, np.concatenate([toxic[rows], np.array(kinds, float)]), np.concatenate([given[rows], np.full(len(seeds), 0.5)]), epochs, steps)
-
-    trusted = np.ones(len(fit), bool)
-    for k in range(FOLDS if len(fit) else 0):
-        other = Classifier(seed + 1 + k)
-        learn(other, fold != k, max(2, EPOCHS // 2), STEPS * 2 // 3)
-        known = np.zeros(BUCKETS, bool)
-        known[list(other.known)] = True
-        said = other.scores_of([np.where(known[docs[i]], docs[i], 0) for i in np.flatnonzero(fold == k)])
-        most = np.where(given[fold == k] < 1, ORDINARY, 1 - DOUBT)
+        given = pd.concat([given, background.assign(toxic=0.0, weight=BACKGROUND_WEIGHT)], ignore_index=True)
+    fold = (given.text.map(_bucket).to_numpy(np.int64) // 6) % FOLDS if len(given) else np.zeros(0, np.int64)
+    toxic, weight, raw = given.toxic.to_numpy(float), given.weight.to_numpy(float), Classifier()
+    lessons = Lessons([raw.ids(t) for t in given.text], toxic, weight, [raw.ids(t) for t in seeds], np.array(kinds, float))
+    folds, by_rating = range(FOLDS if len(given) else 0), np.arange(len(given)) < len(rated)
+    trusted = np.ones(len(given), bool)
+    for k, (_, said) in enumerate(fit(lessons, [(seed + 1 + k, fold != k, max(2, EPOCHS // 2), STEPS * 2 // 3, fold == k) for k in folds])):
+        most = np.where(weight[fold == k] < 1, ORDINARY, 1 - DOUBT)
         trusted[fold == k] = np.abs(said - toxic[fold == k]) < most
-    learn(model, trusted, EPOCHS, STEPS)
-    by_rating = np.arange(len(fit)) < len(rated)
-    score = np.zeros(len(fit))
-    for k in range(FOLDS if len(rated) else 0):
-        other, mine = Classifier(seed + 11 + k), (fold == k) & by_rating
-        learn(other, trusted & (fold != k), EPOCHS, STEPS)
-        known = np.zeros(BUCKETS, bool)
-        known[list(other.known)] = True
-        score[mine] = other.scores_of([np.where(known[docs[i]], docs[i], 0) for i in np.flatnonzero(mine)])
+    last = [(seed, trusted, EPOCHS, STEPS, np.zeros(len(given), bool))]
+    (model, _), *others = fit(lessons, last + [(seed + 11 + k, trusted & (fold != k), EPOCHS, STEPS, (fold == k) & by_rating) for k in (folds if len(rated) else ())])
+    score = np.zeros(len(given))
+    for k, (_, said) in enumerate(others):
+        score[(fold == k) & by_rating] = said
     langs = rated.lang.map(plain_lang) if len(rated) else []
     model.counts = _counts(langs, score[: len(rated)], toxic[: len(rated)])
     model.thresholds = thresholds(model.counts)
@@ -369,14 +401,14 @@ def ordinary_documents(documents: DataFrame, labels: DataFrame, most: int = MAX_
 def score_documents(documents: DataFrame, labels: DataFrame, seed: int = 7) -> DataFrame:
     """(doc_id, source, lang, score, toxic) for every document.
 
-    The classifier is trained on the driver from a bounded sample of rated documents (MAX_LABELLED) and
+    The classifiers are trained in tasks from a bounded sample of rated documents (MAX_LABELLED) and
     unrated ones (MAX_BACKGROUND) and sent to the workers (its size is fixed, about 2 MB). Thresholds come from all
     ratings: those of the sample by cross-fitted scores, the others by scores taken where the documents lie. Every document is scored whole where it lies, without a shuffle. Null and
     empty texts score 0. Unknown languages use the common threshold. Conflicting ratings count with their mean;
     without any rating the seed sentences alone teach the classifier.
     """
     sample = rated_documents(documents, labels)
-    model = train(sample, ordinary_documents(documents, labels), seed)
+    model = train(sample, ordinary_documents(documents, labels), seed, fit_in_tasks(documents.sparkSession))
     model.thresholds = thresholds(pd.concat([model.counts, other_ratings(documents, labels, model, sample)], ignore_index=True))
     model.counts = None  # the workers don't need them
     kind = documents.schema["doc_id"].dataType.simpleString()

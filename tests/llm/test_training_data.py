@@ -298,6 +298,25 @@ def test_edit_distance_bounds(a, b):
     assert d <= 4 and (d <= full or d == 4) and (d == 0) == (a == b)
 
 
+def test_token_sets_have_no_order():
+    m = canonical.Matcher([(1, "ethyl acetate", "EA", "acetic acid ethyl ester", None), (2, "isopropyl alcohol", None, "2-propanol", None), (3, "propyl alcohol", None, "1-propanol", None), (4, "N,N-dimethylformamide", "DMF", None, None)])
+    cases = {"acetate ethyl": 1, "Acetate, ethyl (dry)": 1, "ester of ethyl acetic acid": 1, "ethyl ester acetic acid": 1, "alcohol isopropyl": 2, "alcohol, iso-propyl": 2, "alcohol propyl": 3, "alcohol, n propyl": 3, "acetaet ethyl": 1, "formamide N,N-dimethyl": -1, "propyl acetate": -1, "alcohol": -1}
+    assert {v: m.match(v) for v in cases} == cases
+
+
+@given(st.lists(st.text("abc", min_size=1, max_size=4), min_size=1, max_size=4), st.lists(st.text("abc", min_size=1, max_size=4), min_size=1, max_size=3))
+@settings(max_examples=150, deadline=None)
+def test_token_distance_is_the_best_assignment(a, b):
+    x, y = (a, b) if len(a) >= len(b) else (b, a)
+    full = min(sum(min(levenshtein_swaps(p, q), len(p) + len(q)) if p else len(q) for p, q in zip(order, y)) + sum(map(len, x)) - sum(map(len, order)) for order in itertools.permutations(x + [""] * len(y), len(y)))
+    got = canonical.token_distance(tuple(a), tuple(b), 50)
+    assert got == full == canonical.token_distance(tuple(reversed(a)), tuple(b), 50)
+
+
+def levenshtein_swaps(a, b):
+    return canonical.edit_distance(a, b, 50)
+
+
 # -- 8 ----------------------------------------------------------------------------------------------------------
 
 
