@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -103,21 +106,35 @@ def net_charge(ph: Column, acids: Column, bases: Column) -> Column:
     return plus - minus
 
 
-def saturation_ph(log_s: Column, acids: Column, bases: Column, steps: int = 40) -> Column:
-    """pH of the saturated solution in -2..16, by bisection of the charge balance, which falls with the pH."""
-    s = F.pow(F.lit(10.0), log_s)
+def _padded(lists: pd.Series) -> np.ndarray:
+    """Lists as rows of one matrix, NaN where a list is shorter; nulls in lists count as absent."""
+    held = [[] if x is None else [v for v in x if v is not None] for x in lists]
+    out = np.full((len(held), max(map(len, held), default=0)), np.nan)
+    for i, x in enumerate(held):
+        out[i, : len(x)] = x
+    return out
+
 
-    def balance(ph: Column) -> Column:
-        return s * net_charge(ph, acids, bases) + F.pow(F.lit(10.0), -ph) - F.pow(F.lit(10.0), ph - 14)
+def _saturation(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for log_s, acids, bases in batches:
+        s, a, b = 10.0 ** log_s.to_numpy(float), _padded(acids), _padded(bases)
+        lo, hi = np.full(len(s), -2.0), np.full(len(s), 16.0)
+        with np.errstate(over="ignore", invalid="ignore"):
+            for _ in range(40):
+                ph = (lo + hi) / 2
+                charge = np.nansum(1 / (1 + 10.0 ** (ph[:, None] - b)), axis=1) - np.nansum(1 / (1 + 10.0 ** (a - ph[:, None])), axis=1)
+                up = s * charge + 10.0**-ph - 10.0 ** (ph - 14) > 0
+                lo, hi = np.where(up, ph, lo), np.where(up, hi, ph)
+        yield pd.Series(np.where(np.isnan(s), np.nan, (lo + hi) / 2)).astype("Float64").where(~np.isnan(s))
 
-    start = F.struct(F.lit(-2.0).alias("lo"), F.lit(16.0).alias("hi"))
 
-    def halve(acc: Column, _: Column) -> Column:
-        mid = (acc.lo + acc.hi) / 2
-        return F.when(balance(mid) > 0, F.struct(mid.alias("lo"), acc.hi.alias("hi"))).otherwise(F.struct(acc.lo.alias("lo"), mid.alias("hi")))
+def saturation_ph(log_s: Column, acids: Column, bases: Column) -> Column:
+    """pH of the saturated solution in -2..16, by bisection of the charge balance, which falls with the pH.
 
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve)
-    return F.when(log_s.isNotNull(), (found.lo + found.hi) / 2)
+    40 halvings over whole Arrow batches: as higher-order functions they would be interpreted row by row.
+    """
+    none = F.array().cast("array<double>")
+    return F.pandas_udf(_saturation, "double")(finite(log_s), F.coalesce(acids.cast("array<double>"), none), F.coalesce(bases.cast("array<double>"), none))
 
 
 def effective_log_s(log_s: Column, ph_saturated: Column, ph: Column, acid: Column, base: Column) -> Column:

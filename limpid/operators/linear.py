@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,9 +15,49 @@ from limpid.functions.scalars import finite
 ALPHAS = (0.01, 0.1, 1.0, 10.0, 100.0, 1000.0)
 
 
+def block_sums(rows: DataFrame, width: int, blocks: Callable[[np.ndarray], np.ndarray], by: str | None = None) -> dict[object, np.ndarray]:
+    """Per value of ``by``, the sum over Arrow batches of ``blocks(x)`` for the rows' (batch, width) matrix in column ``x``.
+
+    Each task adds up its own sums; what is collected is one array per task and value, then added in a fixed order.
+    """
+    key = F.col(by).cast("string") if by else F.lit(None).cast("string")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[object, np.ndarray] = {}
+        for pdf in batches:
+            whole = np.array(pdf["x"].tolist(), float).reshape(len(pdf), width)
+            for k, rows in pdf.groupby("k", dropna=False).indices.items() if by else [(None, np.arange(len(pdf)))]:
+                got, k = blocks(whole[rows]), None if k is None or k != k else k
+                sums[k] = sums[k] + got if k in sums else got
+        for k, total in sums.items():
+            for i, row in enumerate(total.reshape(-1, total.shape[-1])):
+                yield pd.DataFrame({"k": pd.Series([k], dtype=object), "i": [i], "row": [row]})
+
+    found = rows.select(key.alias("k"), "x").mapInPandas(run, "k string, i int, row array<double>")
+    # rows of the sums meet by number: what comes to the driver is one array, however many tasks there were
+    added = found.groupBy("k", "i").agg(F.array_agg("row").alias("rows")).mapInPandas(_added, "k string, i int, row array<double>").collect()
+    out: dict[object, dict[int, list]] = {}
+    for r in added:
+        out.setdefault(r["k"], {})[r["i"]] = r["row"]
+    return {k: np.array([held[i] for i in sorted(held)]) for k, held in out.items()}
+
+
+def _added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        yield pdf[["k", "i"]].assign(row=[np.sort(np.array(list(map(np.asarray, rows)), float), axis=0).sum(axis=0) for rows in pdf["rows"]])
+
+
+#: Up to so many columns products are summed by expressions in the JVM, beyond as blocks of matrices.
+FEW = 8
+
+
 def gram(df: DataFrame, features: list[str], target: str, by: str | None = None) -> dict[object, np.ndarray]:
     """Sums of products of (1, features..., target) over rows where all are finite, per value of ``by`` (None: one)."""
     cols = [F.lit(1.0), *[finite(F.col(f"`{c}`").cast("double")) for c in [*features, target]]]
+    if len(cols) > FEW:
+        got = block_sums(df.select(F.array(*cols).alias("x"), *([by] if by else [])).where(~F.exists("x", lambda v: v.isNull())), len(cols), lambda x: x.T @ x, by)
+        kind = {str(r[0]): r[0] for r in df.select(by).distinct().collect()} if by else {}
+        return {kind.get(k, k) if by and k is not None else None: m for k, m in got.items()}
     whole = reduce(lambda a, b: a & b, [c.isNotNull() for c in cols[1:]])
     names = [f"g{i}_{j}" for i in range(len(cols)) for j in range(i, len(cols))]
     aggs = [F.sum(cols[i] * cols[j]).alias(f"g{i}_{j}") for i in range(len(cols)) for j in range(i, len(cols))]

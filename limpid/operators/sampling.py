@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from limpid.functions.scalars import finite, temperature_weight
+from limpid.operators.quantiles import group_quantiles
 
 #: Groups of one label are ranked in buckets of about this many.
 RANK_BUCKET = 100_000
@@ -22,8 +26,8 @@ def seeded(seed: int, col: Column) -> Column:
 def quantile_bins(df: DataFrame, column: str, bins: int) -> Column:
     """Label 0.. of the quantile bin, right-closed; equal edges fall together; null is -1."""
     x = finite(F.col(column))
-    edges = df.agg(F.percentile(x, F.array(*[F.lit(i / bins) for i in range(bins + 1)])).alias("q")).first()["q"]
-    inner = sorted(set(edges or []))[1:-1]
+    row = group_quantiles(df, x, [i / bins for i in range(bins + 1)]).first()
+    inner = sorted(set(row[2:] if row else []))[1:-1]
     return F.when(x.isNull(), -1).otherwise(reduce(lambda acc, e: acc + (x > e).cast("int"), inner, F.lit(0)))
 
 
@@ -110,26 +114,49 @@ def bucket_rank(df: DataFrame, part: str, order: str, tie: str) -> DataFrame:
     return rows.withColumn("_in", inside).join(before, [part, "_bk"]).withColumn("_at", F.col("_before") + F.col("_in")).drop("_bk", "_in", "_before")
 
 
+def take_nearer(sizes: np.ndarray, taken: np.ndarray, at: int, goal: int) -> int:
+    """Marks the sizes that one after the other bring ``at`` nearer to the goal; returns ``at`` with them."""
+    lo = 0
+    while lo < len(sizes) and at < goal:
+        near = sizes[lo:] < 2 * (goal - at)  # nearer, if nothing else is taken before
+        lo += int(near.argmax()) if near.any() else len(near)
+        before = at + np.cumsum(sizes[lo:]) - sizes[lo:]
+        fits = sizes[lo:] < 2 * (goal - before)
+        n = len(fits) if fits.all() else int(fits.argmin())
+        taken[lo : lo + n] = True
+        at += int(sizes[lo : lo + n].sum())
+        lo += n
+    return at
+
+
 def group_split(df: DataFrame, group: str, value: str, temp: str | None = None, share: float = 0.2, step: float = 5.0, bins: int = 5, seed: int = 42) -> DataFrame:
     """(group, stratum, size, split): groups whole in 'train' or 'test', stratum by stratum.
 
     In every stratum groups come in the seeded order; one goes to test if that brings the test rows nearer to
-    int(rows x share), the first one always. The fold runs over the stratum's groups (not rows) inside Catalyst; the
-    strata are bounded by temperature steps and bins, their groups are (group, size) pairs.
+    int(rows x share), the first one always. The sweep is sequential by nature: it reads the strata one after the
+    other in sorted order, a batch at a time with only the test rows so far as its state, so no stratum is gathered
+    in memory; what is (group, stratum, size) is one row per group.
     """
     q = quantile_bins(df, value, bins)
     label = strata(F.col(temp) if temp else None, q, step)
     groups = collapse_rare(group_labels(df.withColumn("_l", label), group, "_l"), 2, "OTHER")
-    listed = groups.withColumn("_h", seeded(seed, F.col(group))).groupBy("label").agg(F.array_sort(F.collect_list(F.struct("_h", F.col(group).alias("g"), "size"))).alias("gs"), F.sum("size").alias("rows"))
-    goal = F.floor(F.col("rows") * share).cast("long")
-
-    def step_(acc: Column, x: Column) -> Column:
-        nearer = F.abs(acc["at"] + x["size"] - acc["goal"]) < F.abs(acc["at"] - acc["goal"])
-        take = nearer | (F.size(acc["test"]) == 0)
-        return F.struct(F.when(take, acc["at"] + x["size"]).otherwise(acc["at"]).alias("at"), acc["goal"].alias("goal"), F.when(take, F.array_append(acc["test"], x["g"])).otherwise(acc["test"]).alias("test"))
-
+    rows = groups.groupBy("label").agg(F.sum("size").alias("_rows")).select("label", F.floor(F.col("_rows") * share).cast("long").alias("_goal"))
     kind = df.schema[group].dataType.simpleString()
-    start = F.struct(F.lit(0).cast("long").alias("at"), goal.alias("goal"), F.array().cast(f"array<{kind}>").alias("test"))
-    done = listed.withColumn("test", F.aggregate("gs", start, step_)["test"])
-    each = done.select("label", "test", F.explode("gs").alias("x"))
-    return each.select(F.col("x.g").alias(group), F.col("label").alias("stratum"), F.col("x.size").alias("size"), F.when(F.array_contains("test", F.col("x.g")), "test").otherwise("train").alias("split"))
+
+    def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        label, at = None, 0
+        for pdf in batches:
+            split = np.zeros(len(pdf), bool)
+            strata_, sizes = pdf["stratum"].to_numpy(), pdf["size"].to_numpy(np.int64)
+            starts = np.flatnonzero(np.r_[True, strata_[1:] != strata_[:-1]]) if len(pdf) else []
+            for lo, hi in zip(starts, [*starts[1:], len(pdf)]):
+                goal = int(pdf["goal"].iloc[lo])
+                if strata_[lo] != label:  # the first group is always taken
+                    label, at, split[lo] = strata_[lo], int(sizes[lo]), True
+                    lo += 1
+                at = take_nearer(sizes[lo:hi], split[lo:hi], at, goal)
+            yield pdf[[group, "stratum", "size"]].assign(split=np.where(split, "test", "train"))
+
+    listed = groups.join(rows, "label").select(group, F.col("label").alias("stratum"), "size", F.col("_goal").alias("goal"), seeded(seed, F.col(group)).alias("_h"))
+    ordered = listed.repartition("stratum").sortWithinPartitions("stratum", "_h", group).select(group, "stratum", "size", "goal")
+    return ordered.mapInPandas(sweep, f"`{group}` {kind}, stratum string, size long, split string")

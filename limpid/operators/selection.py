@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from limpid.functions.scalars import finite
+from limpid.operators import linear
+from limpid.operators.quantiles import group_quantiles
 
 
 def unpivot(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -29,18 +32,27 @@ def varying(df: DataFrame, columns: list[str], most: float = 0.99) -> list[str]:
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """(a, b, r) for every pair a before b: Pearson over the rows where both are finite; null where one is constant.
 
-    All moments of all pairs are one aggregate over arrays of sums: p x p numbers per task, nothing per row is shuffled.
+    Tasks add up, a batch at a time, the products of values, squares and presence masks as matrices; nothing per row is
+    shuffled and only p x p sums reach the driver. Values are taken relative to the columns' means, so that large
+    offsets cost no digits.
     """
-    x = [finite(F.col(f"`{c}`").cast("double")) for c in columns]
-    sums = []
-    for i in range(len(columns)):
-        for j in range(i + 1, len(columns)):
-            a, b = F.when(x[j].isNotNull(), x[i]), F.when(x[i].isNotNull(), x[j])
-            sums.append(F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"), F.count(a * b).alias("n"), F.sum(a).alias("sa"), F.sum(b).alias("sb"), F.sum(a * a).alias("saa"), F.sum(b * b).alias("sbb"), F.sum(a * b).alias("sab")))
-    one = df.agg(F.array(*sums).alias("p")).select(F.inline("p"))
-    va, vb = F.col("n") * F.col("saa") - F.col("sa") ** 2, F.col("n") * F.col("sbb") - F.col("sb") ** 2
-    r = F.when((va > 1e-12) & (vb > 1e-12), (F.col("n") * F.col("sab") - F.col("sa") * F.col("sb")) / F.sqrt(va * vb))
-    return one.select("a", "b", r.alias("r"))
+    p = len(columns)
+    cols = [finite(F.col(f"`{c}`").cast("double")) for c in columns]
+    mid = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    shift = np.array([m or 0.0 for m in mid])
+
+    def blocks(x: np.ndarray) -> np.ndarray:
+        there = (~np.isnan(x)).astype(float)
+        x = np.where(np.isnan(x), 0.0, x - shift)
+        return np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+
+    got = linear.block_sums(df.select(F.array(*cols).alias("x")), p, blocks).get(None)
+    n, s, ss, sab = got.reshape(4, p, p) if got is not None else np.zeros((4, p, p))
+    with np.errstate(invalid="ignore", divide="ignore"):
+        va, vb = n * ss - s**2, (n * ss - s**2).T
+        r = np.where((va > 1e-12) & (vb > 1e-12), (n * sab - s * s.T) / np.sqrt(va * vb), np.nan)
+    rows = [(columns[i], columns[j], None if np.isnan(r[i, j]) else float(r[i, j])) for i in range(p) for j in range(i + 1, p)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
 def correlated_groups(pairs: DataFrame, columns: list[str], limit: float = 0.99) -> list[list[str]]:
@@ -84,8 +96,12 @@ def select_features(df: DataFrame, columns: list[str], most: float = 0.99, limit
     return representatives(correlated_groups(correlations(df, live), live, limit), importance)
 
 
-def median_impute(df: DataFrame, columns: list[str], fitted: DataFrame | None = None) -> DataFrame:
-    """Columns with missing values filled by the exact median of ``fitted`` (df itself if not given)."""
-    src = df if fitted is None else fitted
-    mids = src.agg(*[F.median(finite(F.col(f"`{c}`").cast("double"))).alias(c) for c in columns]).first()
-    return df.withColumns({c: F.coalesce(finite(F.col(f"`{c}`").cast("double")), F.lit(mids[c])) for c in columns})
+def medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
+    """{column: exact median}; columns without a finite value are left out. All columns in one pass over counts of values."""
+    return {r["g"]: r["q0"] for r in group_quantiles(unpivot(df, columns), F.col("value"), [0.5], F.col("feature")).collect()}
+
+
+def median_impute(df: DataFrame, columns: list[str], fitted: DataFrame | dict[str, float] | None = None) -> DataFrame:
+    """Columns with missing values filled by the exact median of ``fitted`` (medians, or a table; df itself if not given)."""
+    mids = fitted if isinstance(fitted, dict) else medians(df if fitted is None else fitted, columns)
+    return df.withColumns({c: F.coalesce(finite(F.col(f"`{c}`").cast("double")), F.lit(mids.get(c)).cast("double")) for c in columns})

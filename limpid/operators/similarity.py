@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from limpid.operators import linear
 from limpid.runtime import Scratch
 
 
@@ -82,6 +83,8 @@ def sphere_clusters(df: DataFrame, key: str, words: str, limit: float = 0.7, mos
         todo = scratch.write(todo.join(now.select("k"), "k", "left_anti"))
         if todo.isEmpty():
             break
+    else:
+        raise RuntimeError(f"rows are left after {most_rounds} rounds")
     centres = done.select("centre").distinct().join(order.withColumnRenamed("k", "centre"), "centre")
     out = done.join(_numbered(centres), "centre").select("k", "cluster").unionByName(nodes.where("n = 0").select("k", F.lit(-1).cast("long").alias("cluster")))
     return out.withColumnRenamed("k", key)
@@ -96,18 +99,13 @@ def _numbered(centres: DataFrame) -> DataFrame:
 
 
 def moments(df: DataFrame, vector: str, width: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """(n, mean, population covariance) of an array column; one aggregate of width x width sums."""
-    x = [F.col(vector)[i].cast("double") for i in range(width)]
-    row = df.where(F.size(vector) == width).agg(F.count("*").alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(x)], *[F.sum(x[i] * x[j]).alias(f"p{i}_{j}") for i in range(width) for j in range(i, width)]).first()
-    n = row["n"]
-    if not n:
+    """(n, mean, population covariance) of an array column, from width x width sums of products of whole batches."""
+    rows = df.where(F.size(vector) == width).select(F.concat(F.array(F.lit(1.0)), F.transform(vector, lambda v: v.cast("double"))).alias("x"))
+    m = linear.block_sums(rows.where(~F.exists("x", lambda v: v.isNull() | F.isnan(v))), width + 1, lambda x: x.T @ x).get(None)
+    if m is None:
         return 0, np.zeros(width), np.zeros((width, width))
-    mean = np.array([row[f"s{i}"] for i in range(width)]) / n
-    cov = np.zeros((width, width))
-    for i in range(width):
-        for j in range(i, width):
-            cov[i, j] = cov[j, i] = row[f"p{i}_{j}"] / n - mean[i] * mean[j]
-    return n, mean, cov
+    mean = m[0, 1:] / m[0, 0]
+    return int(m[0, 0]), mean, m[1:, 1:] / m[0, 0] - np.outer(mean, mean)
 
 
 def _dot(vector: str, w: np.ndarray, shift: np.ndarray) -> Column:

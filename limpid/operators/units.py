@@ -163,7 +163,7 @@ def _per_text(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 def stated(text: Column) -> Column:
     """Struct (scale, f, k, c, solubility) of what a text states; Arrow batches, each distinct text is read once a task."""
-    return F.pandas_udf(_per_text, "scale string, f array<double>, k array<double>, c array<double>, solubility string", F.PandasUDFType.SCALAR_ITER)(text)
+    return F.pandas_udf(_per_text, "scale string, f array<double>, k array<double>, c array<double>, solubility string")(text)
 
 
 def stated_temperature(words: Column, x: Column) -> Column:
