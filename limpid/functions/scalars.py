@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 MOLAR_UNITS = {"M": 1.0, "mM": 1e-3, "uM": 1e-6, "µM": 1e-6, "nM": 1e-9, "mol/L": 1.0, "mmol/L": 1e-3}
 MASS_UNITS = {"ug.mL-1": 1e-3, "ug/mL": 1e-3, "mcg/mL": 1e-3, "ng/mL": 1e-6, "mg/mL": 1.0, "mg/L": 1e-3, "g/L": 1.0}
 ASSUMED_CELSIUS = 25.0
+# pKa of an acid and a base that never ionise in water.
+INERT_ACID, INERT_BASE = 16.0, -2.0
 
 
 def finite(col: Column) -> Column:
@@ -56,6 +58,22 @@ def text_temperature(text: Column) -> Column:
     return F.when(found.between(0, 100), found)
 
 
+def assumed_temperature(text: Column) -> Column:
+    """(temp, assumed): the temperature that a text names, else ASSUMED_CELSIUS with assumed true."""
+    found = text_temperature(text)
+    return F.struct(F.coalesce(found, F.lit(ASSUMED_CELSIUS)).alias("temp"), found.isNull().alias("assumed"))
+
+
+def numbered_label(prefix: str, number: Column) -> Column:
+    """prefix and the whole part of a number; null without one."""
+    return F.concat(F.lit(prefix), finite(number.cast("double")).cast("long").cast("string"))
+
+
+def pka_or_inert(acid: Column, base: Column) -> Column:
+    """(acid, base) with constants of groups that don't ionise in water where none is known."""
+    return F.struct(F.coalesce(finite(acid), F.lit(INERT_ACID)).alias("acid"), F.coalesce(finite(base), F.lit(INERT_BASE)).alias("base"))
+
+
 def log_solubility(value: Column, unit: Column, kind: Column, molar_mass: Column) -> Column:
     """log10 of mol/L from a value, its unit and the kind of measurement.
 

@@ -45,3 +45,8 @@ def members(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
 def physiological(column: str = "temp_C") -> Column:
     """35 to 38 °C."""
     return F.col(column).between(35, 38)
+
+
+def first_rows(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
+    """The first n rows in an order: the limit is the feature. Tasks keep n rows each; no full sort."""
+    return df.orderBy(*order).limit(n)

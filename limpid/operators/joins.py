@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from limpid.functions.scalars import finite
-from limpid.operators.schema import normal_id
+from limpid.operators.schema import keep_first, normal_id
 
 
 def oof_collapse(oof: DataFrame) -> DataFrame:
@@ -31,6 +31,14 @@ def with_truth(pred: DataFrame, truth: DataFrame, key: str) -> DataFrame:
     return pred.withColumn(key, normal_id(F.col(key))).join(t, key)
 
 
+def inner_once(left: DataFrame, right: DataFrame, key: str, order: list[str], suffix: str) -> DataFrame:
+    """Inner join of the first row per key of either side (by ``order``, where a side has it); the right side's columns
+    that the left has too get the suffix."""
+    first = lambda df: keep_first(df.where(F.col(key).isNotNull()), [key], [c for c in order if c in df.columns] or [key])
+    left, right = first(left), first(right)
+    return left.join(right.withColumnsRenamed({c: f"{c}{suffix}" for c in right.columns if c in left.columns and c != key}), key)
+
+
 def with_all(base: DataFrame, others: list[DataFrame], key: str) -> DataFrame:
     """Left joins of further predictions to a base table."""
     for other in others:

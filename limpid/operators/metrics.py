@@ -121,6 +121,16 @@ def best(metrics: DataFrame, key: str, column: str) -> DataFrame:
     return metrics.agg(F.min(F.struct(F.col(column), F.col(key))).alias("m")).select(f"m.{key}", f"m.{column}")
 
 
+def ranked(metrics: DataFrame, key: str, column: str) -> DataFrame:
+    """metrics with ``place``, 1 for the smallest value (ties by key). One row per model: a single window is no burden."""
+    return metrics.withColumn("place", F.row_number().over(Window.orderBy(F.col(column).asc_nulls_last(), key)))
+
+
+def model_card(name: str, kind: str, weights: dict[str, float], scores: dict[str, float], rows: int) -> dict:
+    """What a stored ensemble says of itself, as a JSON document."""
+    return {"name": name, "kind": kind, "models": sorted(weights), "weights": {k: round(float(weights[k]), 6) for k in sorted(weights)}, "scores": {k: round(float(v), 6) for k, v in sorted(scores.items())}, "rows": rows}
+
+
 def consolidate(params: DataFrame, name: str = "name", value: str = "value") -> DataFrame:
     """(name, value) of text values: the rounded mean if all are whole numbers, the mean if all are numbers, else the
     most frequent text (ties: the smallest)."""

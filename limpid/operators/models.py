@@ -6,12 +6,12 @@ import random
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limpid.operators.selection import median_impute
+from limpid.operators.selection import median_impute, medians
 
 # The three tree models and the ranges of their random search.
 FLAVOURS = {
@@ -30,7 +30,9 @@ def estimator(kind: str, params: dict, target: str, weight: str | None, seed: in
 
 
 def pipeline(features: list[str], kind: str, params: dict, target: str, weight: str | None = None, seed: int = 42, valid: str | None = None) -> Pipeline:
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_x"), estimator(kind, params, target, weight, seed, valid)])
+    """Assembler, removal of features that don't vary, and the trees."""
+    steady = VarianceThresholdSelector(featuresCol="_all", outputCol="_x", varianceThreshold=0.0)
+    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_all"), steady, estimator(kind, params, target, weight, seed, valid)])
 
 
 def oof(df: DataFrame, features: list[str], target: str, key: str, fold: str = "fold", weight: str | None = None, flavours: dict = FLAVOURS, seed: int = 42) -> DataFrame:
@@ -43,12 +45,14 @@ def oof(df: DataFrame, features: list[str], target: str, key: str, fold: str = "
     live = df.where(F.col(target).isNotNull() & ~F.isnan(target)).withColumn("_inner", F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(10)) == 0)
     out = None
     for k in folds:
-        train, test = live.where(F.col(fold) != k), live.where(F.col(fold) == k)
-        train, test = median_impute(train, features), median_impute(test, features, train)
+        train = live.where(F.col(fold) != k)
+        mids = medians(train, features)  # once per fold, for both sides
+        train, test = median_impute(train, features, mids).persist(), median_impute(live.where(F.col(fold) == k), features, mids)
         for name, (kind, params) in flavours.items():
             model = pipeline(features, kind, params, target, weight, seed, "_inner").fit(train)
             got = model.transform(test).select(F.col(key).alias("id"), F.col(fold).alias("fold"), F.lit(name).alias("model"), F.col(target).alias("y_true"), F.col("prediction").alias("y_pred"))
             out = got if out is None else out.unionByName(got)
+        train.unpersist()
     return out
 
 
@@ -77,4 +81,6 @@ def search(df: DataFrame, features: list[str], target: str, kind: str = "gbt", t
 
 
 def importances(model: PipelineModel, features: list[str]) -> dict[str, float]:
-    return dict(zip(features, map(float, model.stages[-1].featureImportances.toArray())))
+    """Gain of each feature; 0 for those that the variance threshold removed."""
+    kept = model.stages[-2].selectedFeatures
+    return dict.fromkeys(features, 0.0) | {features[i]: float(g) for i, g in zip(kept, model.stages[-1].featureImportances.toArray())}

@@ -79,6 +79,16 @@ def sample_weights(df: DataFrame, value: str = "logS", temp: str = "temp_C", low
     return df.withColumn("_b", slot).join(F.broadcast(look), "_b").withColumn(name, temperature_weight(F.col(temp)) * rare).drop("_b", "_c", "_n")  # at most ``bins`` rows
 
 
+def random_split(key: Column, shares: dict[str, float], seed: int = 42) -> Column:
+    """Name of the part that a key falls into: parts of the given shares, in their order, along md5(seed|key)."""
+    place = F.conv(F.substring(seeded(seed, key), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    names, edge, out = list(shares), sum(shares.values()), None
+    for name in reversed(names):
+        edge -= shares[name]
+        out = F.lit(name) if out is None else F.when(place < edge + shares[name], name).otherwise(out)
+    return F.when(key.isNotNull(), out)
+
+
 def group_labels(df: DataFrame, group: str, label: str) -> DataFrame:
     """(group, label, size): the most frequent label of each group, ties to the smallest; two partial aggregates."""
     counts = df.where(F.col(group).isNotNull()).groupBy(group, label).agg(F.count("*").alias("_n"))

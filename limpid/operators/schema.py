@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,14 +54,11 @@ def _names_any(df: DataFrame, named: Column) -> bool:
 
 
 def unify_all(tables: dict[str, DataFrame]) -> DataFrame:
-    """All tables under the unified schema, one below the other. No table gives an empty result of that schema."""
+    """All tables under the unified schema, one below the other. Without any table there is no session to plan on: ValueError."""
     parts = [unify_schema(df, name) for name, df in tables.items()]
     if not parts:
         raise ValueError("no table given")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def align_columns(test: DataFrame, train: DataFrame, zero_prefix: str = "solv_") -> DataFrame:
@@ -81,6 +80,17 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
+def prefixed_columns(df: DataFrame, prefixes: tuple[str, ...], keep: tuple[str, ...] = ()) -> list[str]:
+    """Columns whose name begins with one of the prefixes, and those to keep, in their order."""
+    return [c for c in df.columns if c in keep or c.startswith(prefixes)]
+
+
+def column_report(left: DataFrame, right: DataFrame) -> list[tuple[str, str]]:
+    """(column, 'both' | 'left' | 'right') of two tables, by name."""
+    a, b = set(left.columns), set(right.columns)
+    return sorted((c, "both" if c in a & b else "left" if c in a else "right") for c in a | b)
+
+
 def one_hot(df: DataFrame, column: str, prefix: str, most: int = 1000) -> DataFrame:
     """A byte column prefix + value for every distinct value of a column (null is 'nan'); at most ``most`` values."""
     text = F.coalesce(F.col(column).cast("string"), F.lit("nan"))

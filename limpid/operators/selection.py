@@ -82,6 +82,12 @@ def variance_importance(df: DataFrame, columns: list[str]) -> DataFrame:
     return per.crossJoin(F.broadcast(total)).select("feature", F.when(F.col("all") > 0, F.col("v") / F.col("all")).otherwise(0.0).alias("importance"))  # one row
 
 
+def spread_columns(df: DataFrame, columns: list[str], limit: float = 0.0) -> list[str]:
+    """Columns whose sample variance is above the limit; in their given order."""
+    got = {r["feature"] for r in unpivot(df, columns).groupBy("feature").agg(F.var_samp("value").alias("v")).where(F.col("v") > limit).collect()}
+    return [c for c in columns if c in got]
+
+
 def representatives(groups: list[list[str]], importance: dict[str, float]) -> list[str]:
     """The most important column of each group; ties go to the first."""
     return [max(g, key=lambda c: (importance.get(c, 0.0), -g.index(c))) for g in groups]

@@ -61,9 +61,10 @@ def sphere_clusters(df: DataFrame, key: str, words: str, limit: float = 0.7, mos
     """(key, cluster) by exclusion spheres: the row with the most neighbours founds cluster 0 with them,
     then the next, down to single rows; rows without bits get -1.
 
-    The sweep is sequential by nature, but far rows don't touch: in every round all rows found a cluster that come
-    before each neighbour of theirs (by degree, then key) among those not yet assigned. The rounds are joins on the
-    neighbour table and give the sweep's result for the fixed order of degrees. Cluster numbers follow that order.
+    The sweep is sequential by nature, but far rows don't touch: a row founds a cluster if no neighbour before it (by
+    degree, then key) does. In every round all rows found one that come before each neighbour of theirs still open, and
+    their neighbours are closed. At the end every row goes to the first founder among its neighbours, as in the sweep.
+    The rounds are joins on the neighbour table. Cluster numbers follow the order.
     """
     scratch = Scratch(df.sparkSession, "spheres")
     pairs = similar_pairs(df, key, words, limit).select("a", "b")
@@ -71,23 +72,27 @@ def sphere_clusters(df: DataFrame, key: str, words: str, limit: float = 0.7, mos
     nodes = df.select(F.col(key).alias("k"), bit_total(F.col(words)).alias("n")).where("k IS NOT NULL")
     degree = links.groupBy(F.col("a").alias("k")).agg(F.count("*").alias("d"))
     order = scratch.write(nodes.where("n > 0").join(degree, "k", "left").select("k", F.coalesce("d", F.lit(0)).alias("d")))
-    todo, done = order, None
+    todo, centres = order, None
     for _ in range(most_rounds):
-        near = links.join(todo.select(F.col("k").alias("a"), F.col("d").alias("da")), "a").join(todo.select(F.col("k").alias("b"), F.col("d").alias("db")), "b")
-        beaten = near.where("db > da OR (db = da AND b < a)").select(F.col("a").alias("k")).distinct()
-        found = todo.join(beaten, "k", "left_anti").select(F.col("k").alias("centre"), "d")
-        # a row takes the first of its neighbours that found a cluster now
-        taken = links.join(found, links.a == found.centre).join(todo.select(F.col("k").alias("b")), "b").groupBy(F.col("b").alias("k")).agg(F.min(F.struct((-F.col("d")).alias("o"), "centre")).centre.alias("centre"))
-        now = scratch.write(taken.unionByName(found.select(F.col("centre").alias("k"), "centre")))
-        done = now if done is None else done.unionByName(now)
-        todo = scratch.write(todo.join(now.select("k"), "k", "left_anti"))
         if todo.isEmpty():
             break
+        near = links.join(todo.select(F.col("k").alias("a"), F.col("d").alias("da")), "a").join(todo.select(F.col("k").alias("b"), F.col("d").alias("db")), "b")
+        beaten = near.where("db > da OR (db = da AND b < a)").select(F.col("a").alias("k")).distinct()
+        found = scratch.write(todo.join(beaten, "k", "left_anti"))
+        closed = links.join(found.select(F.col("k").alias("a")), "a").select(F.col("b").alias("k")).unionByName(found.select("k")).distinct()
+        centres = found if centres is None else centres.unionByName(found)
+        left = scratch.write(todo.join(closed, "k", "left_anti"))
+        scratch.drop(*([todo] if todo is not order else []))
+        todo = left
     else:
         raise RuntimeError(f"rows are left after {most_rounds} rounds")
-    centres = done.select("centre").distinct().join(order.withColumnRenamed("k", "centre"), "centre")
-    out = done.join(_numbered(centres), "centre").select("k", "cluster").unionByName(nodes.where("n = 0").select("k", F.lit(-1).cast("long").alias("cluster")))
-    return out.withColumnRenamed("k", key)
+    lone = nodes.where("n = 0").select("k", F.lit(-1).cast("long").alias("cluster"))
+    if centres is None:
+        return lone.withColumnRenamed("k", key)
+    numbered = _numbered(centres.withColumnRenamed("k", "centre"))
+    # the number of a founder is its place in the order: the first founder is the smallest number
+    taken = links.join(numbered, links.a == numbered.centre).select(F.col("b").alias("k"), "cluster").unionByName(numbered.select(F.col("centre").alias("k"), "cluster"))
+    return taken.groupBy("k").agg(F.min("cluster").alias("cluster")).unionByName(lone).withColumnRenamed("k", key)
 
 
 def _numbered(centres: DataFrame) -> DataFrame:

@@ -112,3 +112,19 @@ def write_metrics(spark: SparkSession, metrics: dict, path: str) -> None:
 
 def read_metrics(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
+def read_sources(spark: SparkSession, paths: dict[str, str], skip: tuple[str, ...] = (), schema: T.StructType | str | None = None) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """({name: table}, {name: reason}) of the sources that are to be read: those skipped or without a file are named with
+    the reason instead; a source that is there but can't be read is an error."""
+    tables, left_out = {}, {}
+    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    for name, path in paths.items():
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        if name in skip:
+            left_out[name] = "skipped"
+        elif not at.getFileSystem(conf).exists(at):
+            left_out[name] = "missing"
+        else:
+            tables[name] = read_any(spark, path, schema)
+    return tables, left_out
