@@ -93,12 +93,17 @@ def extract_temperature(spark, d):
     return table(spark, d, "unified").select("rec_id", S.text_temperature(F.col("assay_description")).alias("text_temp"))
 
 
-@query(M + """SELECT rec_id, round(CASE WHEN v > 0 AND mol_weight > 0 THEN CASE u WHEN 'M' THEN log10(v) WHEN 'mM' THEN log10(v * 1e-3) WHEN 'nM' THEN log10(v * 1e-9) WHEN 'ug/mL' THEN log10(v * 1e-3 / mol_weight) WHEN 'mg/mL' THEN log10(v / mol_weight) END END, 6) AS log_s
-FROM (SELECT *, abs(logS) * 10 - 5 AS v, CASE rec_id % 6 WHEN 0 THEN 'M' WHEN 1 THEN 'mM' WHEN 2 THEN 'nM' WHEN 3 THEN 'ug/mL' WHEN 4 THEN 'mg/mL' ELSE 'furlong' END AS u FROM m)""")
+UNITS = ["M", "mM", "uM", "µM", "nM", "mol/L", "mmol/L", "ug.mL-1", "ug/mL", "mcg/mL", "ng/mL", "mg/mL", "mg/L", "g/L", " mM ", "", "furlong"]
+
+
+@query(M + f"""SELECT rec_id, unit, kind, round(CASE WHEN v > 0 AND mol_weight > 0 THEN CASE WHEN u = '' AND contains(lower(kind), 'log') THEN v
+  WHEN u IN ('M', 'mol/L') THEN log10(v) WHEN u IN ('mM', 'mmol/L') THEN log10(v * 1e-3) WHEN u IN ('uM', 'µM') THEN log10(v * 1e-6) WHEN u = 'nM' THEN log10(v * 1e-9)
+  WHEN u IN ('mg/mL', 'g/L') THEN log10(v / mol_weight) WHEN u IN ('ug.mL-1', 'ug/mL', 'mcg/mL', 'mg/L') THEN log10(v * 1e-3 / mol_weight) WHEN u = 'ng/mL' THEN log10(v * 1e-6 / mol_weight) END END, 6) AS log_s
+FROM (SELECT *, trim(unit) AS u FROM (SELECT rec_id, abs(logS) * 10 - 5 AS v, mol_weight, unnest({UNITS}) AS unit FROM m), (SELECT unnest(['Solubility', 'LogS']) AS kind))""")
 def unit_to_logs(spark, d):
-    m = measurements(spark, d)
-    unit = F.element_at(F.array(*[F.lit(x) for x in ("M", "mM", "nM", "ug/mL", "mg/mL", "furlong")]), (F.col("rec_id") % 6 + 1).cast("int"))
-    return m.select("rec_id", F.round(S.log_solubility(F.abs("logS") * 10 - 5, unit, F.lit("Solubility"), F.col("mol_weight")), 6).alias("log_s"))
+    m = measurements(spark, d).select("rec_id", (F.abs("logS") * 10 - 5).alias("v"), "mol_weight", F.explode(F.array(*[F.lit(x) for x in UNITS])).alias("unit"))
+    m = m.withColumn("kind", F.explode(F.array(F.lit("Solubility"), F.lit("LogS"))))
+    return m.select("rec_id", "unit", "kind", F.round(S.log_solubility(F.col("v"), F.col("unit"), F.col("kind"), F.col("mol_weight")), 6).alias("log_s"))
 
 
 @query(M + "SELECT rec_id, round(1000.0 / (coalesce(temp_C, 25.0) + 273.15), 9) AS inv_temp, round(temp_C + 273.15, 6) AS temp_k FROM m")
@@ -121,7 +126,11 @@ def neutral_fraction(spark, d):
     return with_pka(table(spark, d, "unified")).select("rec_id", F.round(S.neutral_fraction(F.lit(7.4), F.col("pka"), F.col("pkb")), 6).alias("neutral"))
 
 
-@query()
+@query(M.replace("WITH m", "WITH RECURSIVE m", 1).rstrip() + f""", x AS (SELECT m.rec_id, logS, pow(10, logS) AS s, a, b FROM m JOIN (SELECT rec_id, CAST({PKA_SQL} AS DOUBLE) AS a, CAST({PKB_SQL} AS DOUBLE) AS b FROM unified) USING (rec_id) WHERE logS IS NOT NULL),
+r AS (SELECT *, -2.0::DOUBLE AS lo, 16.0::DOUBLE AS hi, 0 AS i FROM x UNION ALL SELECT rec_id, logS, s, a, b, CASE WHEN f > 0 THEN mid ELSE lo END, CASE WHEN f > 0 THEN hi ELSE mid END, i + 1
+  FROM (SELECT *, s * (coalesce(1 / (1 + pow(10, mid - b)), 0) - coalesce(1 / (1 + pow(10, a - mid)), 0)) + pow(10, -mid) - pow(10, mid - 14) AS f FROM (SELECT *, (lo + hi) / 2 AS mid FROM r WHERE i < 40))),
+n AS (SELECT rec_id, (lo + hi) / 2 AS ph, logS, a, b FROM r WHERE i = 40)
+SELECT rec_id, round(ph, 4) AS ph_sat, round(log10(greatest(pow(10, logS) / (1 + coalesce(pow(10, ph - a), 0) + coalesce(pow(10, b - ph), 0)), 1e-15) / greatest(1 / (1 + coalesce(pow(10, 7.4 - a), 0) + coalesce(pow(10, b - 7.4), 0)), 1e-12)), 3) AS logs_eff FROM n""")
 def effective_solubility(spark, d):
     x = with_pka(measurements(spark, d)).where("logS IS NOT NULL")
     acids, bases = (F.filter(F.array(c), lambda v: v.isNotNull()) for c in ("pka", "pkb"))
@@ -316,7 +325,13 @@ def majority_label(spark, d):
     return sampling.collapse_rare(g, 5, -1).select("grp", F.col("label").cast("long").alias("label"), F.col("size").cast("long").alias("size"))
 
 
-@query()
+@query(J.replace("WITH m", "WITH RECURSIVE m", 1).replace("FROM m)", "FROM m WHERE InChIKey IS NOT NULL)") + QBIN.split("cnt AS")[0] + """st AS (SELECT grp, concat_ws('|', coalesce(CAST(CAST(round_even(temp_C / 5.0, 0) * 5 AS INT) AS VARCHAR), '-999'), CAST(l AS VARCHAR)) AS s FROM lab),
+cn AS (SELECT grp, s, count(*) AS n FROM st GROUP BY ALL), mj AS (SELECT grp, s, size FROM (SELECT *, sum(n) OVER (PARTITION BY grp) AS size, row_number() OVER (PARTITION BY grp ORDER BY n DESC, s) AS rn FROM cn) WHERE rn = 1),
+gr AS (SELECT grp, CASE WHEN count(*) OVER (PARTITION BY s) < 2 THEN 'OTHER' ELSE s END AS stratum, CAST(size AS BIGINT) AS size FROM mj),
+od AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY md5('42|' || grp), grp) AS i, CAST(floor(sum(size) OVER (PARTITION BY stratum) * 0.2) AS BIGINT) AS goal FROM gr),
+sw AS (SELECT stratum, i, size AS seen, grp, size, true AS take FROM od WHERE i = 1 UNION ALL
+  SELECT o.stratum, o.i, CASE WHEN t THEN seen + o.size ELSE seen END, o.grp, o.size, t FROM (SELECT od.*, sw.seen, abs(sw.seen + od.size - od.goal) < abs(sw.seen - od.goal) AS t FROM sw JOIN od ON od.stratum = sw.stratum AND od.i = sw.i + 1) o)
+SELECT grp, stratum, size, CASE WHEN take THEN 'test' ELSE 'train' END AS split FROM sw""")
 def group_split(spark, d):
     m = measurements(spark, d).select(F.col("InChIKey").alias("grp"), "logS", "temp_C").where("grp IS NOT NULL")
     return sampling.group_split(m, "grp", "logS", "temp_C")
@@ -346,7 +361,14 @@ def corr_pairs(spark, d):
     return selection.correlations(features(spark, d), FEATURES[:4]).withColumn("r", F.round("r", 6))
 
 
-@query()
+FEAT_PAIRS = " UNION ALL ".join(f"SELECT {i} AS i, {j} AS j, corr({a}, {b}) AS r FROM w" for i, a in enumerate(FEATURES) for j, b in enumerate(FEATURES) if i != j)
+FEAT_GROUPS = FEAT_SQL.replace("WITH m", "WITH RECURSIVE m", 1).rstrip() + LONG.rstrip() + f""", pr AS ({FEAT_PAIRS}), f AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(FEATURES))}) t(i, feature)),
+rc AS (SELECT i, i AS j FROM f UNION SELECT rc.i, pr.j FROM rc JOIN pr ON pr.i = rc.j AND abs(r) >= 0.99),
+gp AS (SELECT i, min(j) AS top FROM rc GROUP BY i)
+"""
+
+
+@query(FEAT_GROUPS + "SELECT CAST(dense_rank() OVER (ORDER BY top) - 1 AS INT) AS grp, feature FROM gp JOIN f USING (i)")
 def corr_clusters(spark, d):
     f = features(spark, d)
     groups = selection.correlated_groups(selection.correlations(f, FEATURES), FEATURES, 0.99)
@@ -358,7 +380,9 @@ def variance_importance(spark, d):
     return selection.variance_importance(features(spark, d), FEATURES).withColumn("importance", F.round("importance", 6))
 
 
-@query()
+@query(FEAT_GROUPS.rstrip() + """, dm AS (SELECT feature, max(k) / CAST(sum(k) AS DOUBLE) AS share, count(*) AS kinds FROM (SELECT feature, value, count(*) AS k FROM z GROUP BY ALL) GROUP BY feature),
+vr AS (SELECT feature, var_samp(value) AS v FROM z GROUP BY feature)
+SELECT feature FROM (SELECT feature, row_number() OVER (PARTITION BY top ORDER BY v DESC, i) AS rn FROM gp JOIN f USING (i) JOIN vr USING (feature) JOIN dm USING (feature) WHERE share < 0.99 AND kinds > 1) WHERE rn = 1""")
 def select_features(spark, d):
     return spark.createDataFrame([(c,) for c in selection.select_features(features(spark, d), FEATURES)], "feature string")
 
@@ -503,7 +527,7 @@ def nnls_blend(spark, d):
 
 def physics(spark: SparkSession, d: str) -> DataFrame:
     m = measurements(spark, d).where("logS IS NOT NULL AND InChIKey IS NOT NULL")
-    return m.select("rec_id", "logS", S.inverse_temperature(F.col("temp_C")).alias("inv_temp"), F.coalesce("mol_weight", F.lit(800.0)).alias("mw"), F.pmod(F.xxhash64("InChIKey"), F.lit(5)).cast("int").alias("fold"))
+    return m.select("rec_id", "logS", S.inverse_temperature(F.col("temp_C")).alias("inv_temp"), F.coalesce("mol_weight", F.lit(800.0)).alias("mw"), (F.conv(F.substring(F.md5("InChIKey"), 25, 8), 16, 10).cast("long") % 5).cast("int").alias("fold"))
 
 
 @query(M.rstrip() + ", w AS (SELECT 1000.0 / (coalesce(temp_C, 25.0) + 273.15) AS x, coalesce(mol_weight, 800.0) AS z, logS AS y FROM m WHERE logS IS NOT NULL AND InChIKey IS NOT NULL)\nSELECT count(*) AS n, round(sum(x), 4) AS sx, round(sum(x * x), 4) AS sxx, round(sum(x * z) / 1e3, 4) AS sxz, round(sum(x * y), 4) AS sxy, round(sum(y * y), 4) AS syy FROM w")
@@ -513,12 +537,27 @@ def ridge_gram(spark, d):
     return spark.createDataFrame([row], "n long, sx double, sxx double, sxz double, sxy double, syy double")
 
 
-@query()
+# ridge of two standardised features in closed form: per left-out fold k and alpha, the loss over the other folds j, each
+# predicted by the sums of the folds but k and j; then the fit of the folds but k at the best alpha
+RIDGE = M.rstrip() + """, w AS (SELECT rec_id, 1000.0 / (coalesce(temp_C, 25.0) + 273.15) AS x, coalesce(mol_weight, 800.0) AS z, logS AS y, CAST(('0x' || substr(md5(InChIKey), 25, 8)) AS BIGINT) % 5 AS fold FROM m WHERE logS IS NOT NULL AND InChIKey IS NOT NULL),
+g AS (SELECT fold, CAST(count(*) AS DOUBLE) AS n, sum(x) AS x, sum(z) AS z, sum(y) AS y, sum(x * x) AS xx, sum(x * z) AS xz, sum(z * z) AS zz, sum(x * y) AS xy, sum(z * y) AS zy, sum(y * y) AS yy FROM w GROUP BY fold),
+k AS (SELECT fold AS k FROM g UNION ALL SELECT -1), al AS (SELECT unnest([0.01, 0.1, 1.0, 10.0, 100.0, 1000.0])::DOUBLE AS alpha),
+q AS (SELECT k, j.fold AS j, sum(n) AS n, sum(x) AS x, sum(z) AS z, sum(y) AS y, sum(xx) AS xx, sum(xz) AS xz, sum(zz) AS zz, sum(xy) AS xy, sum(zy) AS zy FROM k, (SELECT fold FROM g UNION ALL SELECT -2) j, g WHERE g.fold <> k AND g.fold <> j.fold AND j.fold <> k GROUP BY k, j.fold),
+sd AS (SELECT *, x / n AS mx, z / n AS mz, y / n AS my, sqrt(xx / n - pow(x / n, 2)) AS sx, sqrt(zz / n - pow(z / n, 2)) AS sz FROM q),
+cf AS (SELECT k, j, alpha, n, mx, mz, my, sx, sz, n + alpha AS d, (xz - n * mx * mz) / (sx * sz) AS o, (xy - n * mx * my) / sx AS bx, (zy - n * mz * my) / sz AS bz FROM sd, al),
+ft AS (SELECT k, j, alpha, n, (bx * d - o * bz) / (d * d - o * o) / sx AS wx, (bz * d - o * bx) / (d * d - o * o) / sz AS wz, mx, mz, my FROM cf),
+fi AS (SELECT *, my - wx * mx - wz * mz AS b FROM ft),
+ls AS (SELECT fi.k, alpha, sum(yy + g.n * b * b + wx * wx * xx + wz * wz * zz - 2 * b * g.y - 2 * wx * xy - 2 * wz * zy + 2 * b * wx * g.x + 2 * b * wz * g.z + 2 * wx * wz * xz) AS loss FROM fi JOIN g ON g.fold = fi.j GROUP BY fi.k, alpha),
+be AS (SELECT k, arg_min(alpha, loss) AS alpha FROM ls GROUP BY k), md AS (SELECT fi.* FROM fi JOIN be USING (k, alpha) WHERE j = -2)
+"""
+
+
+@query(RIDGE + "SELECT rec_id, CAST(fold AS INT) AS fold, w.y AS \"logS\", round(b + wx * w.x + wz * w.z, 4) AS y_pred FROM w JOIN md ON md.k = w.fold")
 def ridge_oof(spark, d):
-    return linear.ridge_oof(physics(spark, d), ["inv_temp", "mw"], "logS").select("rec_id", "fold", "logS", *r6("y_pred"))
+    return linear.ridge_oof(physics(spark, d), ["inv_temp", "mw"], "logS").select("rec_id", "fold", "logS", F.round("y_pred", 4).alias("y_pred"))
 
 
-@query()
+@query(RIDGE + "SELECT unnest(['intercept', 'alpha', 'n', 'inv_temp', 'mw']) AS name, unnest([round(b, 6), round(alpha, 6), n, round(wx, 6), round(wz, 6)]) AS value FROM md WHERE k = -1")
 def ridge_full(spark, d):
     return spark.createDataFrame([(k, round(v, 6)) for k, v in linear.ridge_full(physics(spark, d), ["inv_temp", "mw"], "logS").items()], "name string, value double")
 
@@ -550,7 +589,14 @@ def tanimoto_pairs(spark, d):
     return similarity.similar_pairs(bits(spark, d), "vec_id", "w", 0.6).withColumn("similarity", F.round("similarity", 6))
 
 
-@query()
+@query("""WITH RECURSIVE s AS (SELECT vec_id, unnest(range(1, 65)) AS i, unnest(list_transform(embedding, lambda x: x > 0)) AS f FROM embeddings), n AS (SELECT vec_id, count(*) AS n FROM s WHERE f GROUP BY 1),
+c AS (SELECT x.vec_id AS a, y.vec_id AS b, count(*) AS k FROM s x JOIN s y ON x.i = y.i AND x.f AND y.f AND x.vec_id <> y.vec_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n p ON a = p.vec_id JOIN n q ON b = q.vec_id WHERE k / CAST(p.n + q.n - k AS DOUBLE) >= 0.6), d AS (SELECT a, count(*) AS d, list(b) AS near FROM l GROUP BY a),
+o AS (SELECT vec_id, coalesce(near, []) AS near, row_number() OVER (ORDER BY coalesce(d, 0) DESC, vec_id) AS i FROM n LEFT JOIN d ON a = vec_id),
+w AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS founders UNION ALL SELECT o.i, CASE WHEN list_has_any(founders, near) THEN founders ELSE list_append(founders, vec_id) END FROM w JOIN o ON o.i = w.i + 1),
+f AS (SELECT unnest(founders) AS founder, unnest(range(len(founders))) AS cluster FROM w WHERE i = (SELECT max(i) FROM w)),
+t AS (SELECT o.vec_id, min(cluster) AS cluster FROM o JOIN f ON founder = o.vec_id OR list_contains(near, founder) GROUP BY 1)
+SELECT vec_id, CAST(cluster AS BIGINT) AS cluster FROM t UNION ALL SELECT vec_id, -1 FROM embeddings WHERE vec_id NOT IN (SELECT vec_id FROM n)""")
 def butina_clusters(spark, d):
     return similarity.sphere_clusters(bits(spark, d), "vec_id", "w", 0.6)
 
