@@ -48,6 +48,10 @@ n AS (SELECT f.feed, f.file_seq, h.field, h.name, h.kind FROM f JOIN h ON h.feed
 o AS (SELECT f.feed, f.file_seq, h.field, h.name, h.kind FROM f JOIN h ON h.feed = f.feed AND h.file_seq = f.last)
 SELECT feed, file_seq, field, 'added' AS change_kind FROM n ANTI JOIN o USING (feed, file_seq, field) UNION ALL SELECT feed, file_seq, field, 'removed' FROM o ANTI JOIN n USING (feed, file_seq, field)
 UNION ALL SELECT n.feed, n.file_seq, n.field, 'renamed' FROM n JOIN o USING (feed, file_seq, field) WHERE n.name <> o.name UNION ALL SELECT n.feed, n.file_seq, n.field, 'retyped' FROM n JOIN o USING (feed, file_seq, field) WHERE n.kind <> o.kind"""
+P7_CHANGES = P7_FOUND[: P7_FOUND.index("SELECT feed, file_seq, field, 'added' AS change_kind FROM n")].rstrip() + """,
+b AS (SELECT feed, file_seq, field, o.name AS old_name, o.kind AS old_kind, n.name, n.kind FROM n FULL JOIN o USING (feed, file_seq, field))
+SELECT feed, file_seq, field, 'added' AS change_kind, NULL AS before, name AS after FROM b WHERE old_name IS NULL UNION ALL SELECT feed, file_seq, field, 'removed', old_name, NULL FROM b WHERE name IS NULL
+UNION ALL SELECT feed, file_seq, field, 'renamed', old_name, name FROM b WHERE name <> old_name UNION ALL SELECT feed, file_seq, field, 'retyped', old_kind, kind FROM b WHERE kind <> old_kind"""
 # units by wording and size, written apart from the operator from the statement of the problem: a temperature is foreign
 # if it can't be a bath in °C at all, if the text names Fahrenheit for it, or gives it as a number in Fahrenheit without
 # naming Celsius for the measurement; a solubility by the wording of its text, else of its source's remark
@@ -61,4 +65,4 @@ lg AS (SELECT rec_id, CASE
 SELECT 'unified' AS tab, rec_id AS rec_key, 'temp_C' AS field FROM b WHERE isfinite(t) AND abs(t) < 900 AND (t >= 200 OR abs(f - t) < 0.51 OR regexp_matches(a, 'degF|°F|(?i:fahrenheit readings)'))
 UNION ALL SELECT 'unified', rec_id, 'logS' FROM lg WHERE k <> 'log' OR k IS NULL AND src IN (SELECT source FROM source_registry WHERE regexp_matches(remark, '(?i)negative.*logarithm'))
 UNION ALL SELECT 'second_challenge_predict_aqueous_solubility', item_no, 'temperature_K' FROM second_challenge_predict_aqueous_solubility WHERE isfinite(temperature_K) AND temperature_K NOT IN (0, -999, 9999) AND temperature_K NOT BETWEEN 200 AND 450"""
-ORACLES = {"p6_found": P6_FOUND, "p7_found": P7_FOUND}
+ORACLES = {"p6_found": P6_FOUND, "p7_found": P7_FOUND, "p7_changes": P7_CHANGES}
