@@ -255,3 +255,22 @@ def mix_shares(chosen: DataFrame, targets: DataFrame) -> DataFrame:
     out = want.join(got, "source", "left").crossJoin(F.broadcast(total))  # one row
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     return out.select("source", "target_share", "max_repeats", zero("documents"), zero("most_repeats"), zero("tokens"), F.coalesce(F.col("tokens") / F.col("all"), F.lit(0.0)).alias("actual_share"))
+
+
+def broken_rules(chosen: DataFrame, documents: DataFrame, targets: DataFrame, scratch: Scratch) -> DataFrame:
+    """(sources, used_too_often, strange, shares_off): how many sources are mixed, and how often a rule is broken: a
+    document used more than max_repeats times, one that doesn't stand in the source it is chosen for, a source that
+    misses its share (spread over the sources that have documents) by more than a document."""
+    chosen = scratch.write(chosen)
+    want = targets.select(plain_source(F.col("source")).alias("source"), "target_share", "max_repeats").where("source IS NOT NULL AND target_share > 0 AND max_repeats > 0").groupBy("source").agg(F.sum("target_share").alias("share"), F.max("max_repeats").alias("most"))
+    often = chosen.join(want, "source", "left").where("repeats > coalesce(most, 0)").agg(F.count("*"))
+    held = documents.select("doc_id", plain_source(F.col("source")).alias("source")).distinct()
+    strange = chosen.join(held, ["doc_id", "source"], "left_anti").agg(F.count("*"))
+    got = chosen.groupBy("source").agg(F.sum(F.col("tokens") * F.col("repeats")).alias("got"), F.max("tokens").alias("longest"))
+    there = want.join(got, "source")
+    total = there.agg(F.sum("got").alias("all"), F.sum("share").alias("whole"), F.max("longest").alias("most_tokens"))
+    off = there.crossJoin(F.broadcast(total)).where("abs(got - share / whole * all) > 2 * most_tokens").agg(F.count("*"))  # one row
+    one = there.agg(F.count("*").alias("sources"))
+    for name, df in (("used_too_often", often), ("strange", strange), ("shares_off", off)):
+        one = one.crossJoin(df.toDF(name))  # one row each
+    return one

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from limpid.llm import canonical, clusters, leaks, mixing, overlaps, splits, survivors, toxicity
 from limpid.llm.oracles import ORACLES
@@ -27,6 +28,10 @@ def _p1_report(spark: SparkSession, d: str) -> DataFrame:
     return splits.split_report(_p1_assigned(spark, d), table(spark, d, "folds"), table(spark, d, "split_plan"))
 
 
+def _p1_check(spark: SparkSession, d: str) -> DataFrame:
+    return splits.broken_rules(_p1_assigned(spark, d), table(spark, d, "folds"), table(spark, d, "unified"), table(spark, d, "split_plan"), Scratch(spark, "p1"))
+
+
 def _p2_found(spark: SparkSession, d: str) -> DataFrame:
     return clusters.similarity_clusters(table(spark, d, "unified"), Scratch(spark, "p2"))
 
@@ -61,15 +66,19 @@ def _p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _p8_leaks(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).withColumn("coverage", F.round("coverage", 6))
+
+
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
 def _p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return _p8_leaks(spark, d).select("doc_id", "item_id")
+    return _leaks(spark, d).select("doc_id", "item_id")
 
 
 def _p8_items(spark: SparkSession, d: str) -> DataFrame:
-    return leaks.leaked_items(_p8_leaks(spark, d), table(spark, d, "eval_items"))
+    return leaks.leaked_items(_leaks(spark, d), table(spark, d, "eval_items"))
 
 
 def _p9_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -80,6 +89,10 @@ def _p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_shares(_p9_mix(spark, d), table(spark, d, "mix_targets"))
 
 
+def _p9_check(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.broken_rules(_p9_mix(spark, d), table(spark, d, "documents"), table(spark, d, "mix_targets"), Scratch(spark, "p9"))
+
+
 def _p10_scores(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.score_documents(table(spark, d, "documents"), table(spark, d, "doc_labels"))
 
@@ -96,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "p1_found": _p1_found,
     "p1_assigned": _p1_assigned,
     "p1_report": _p1_report,
+    "p1_check": _p1_check,
     "p2_found": _p2_found,
     "p2_described": _p2_described,
     "p3_found": _p3_found,
@@ -109,6 +123,7 @@ QUERIES: dict[str, Query] = {
     "p8_items": _p8_items,
     "p9_mix": _p9_mix,
     "p9_shares": _p9_shares,
+    "p9_check": _p9_check,
     "p10_found": _p10_found,
     "p10_scores": _p10_scores,
     "p10_rates": _p10_rates,

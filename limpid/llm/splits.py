@@ -150,3 +150,20 @@ def split_report(assigned: DataFrame, folds: DataFrame, plan: DataFrame) -> Data
     total = got.agg(F.sum("rows").alias("all"))
     out = want.join(got, "split", "full").crossJoin(F.broadcast(total))  # one row
     return out.select("split", "target_share", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce(F.col("rows") / F.col("all"), F.lit(0.0)).alias("actual_share"), F.coalesce("groups", F.lit(0)).alias("groups"))
+
+
+def broken_rules(assigned: DataFrame, folds: DataFrame, unified: DataFrame, plan: DataFrame, scratch: Scratch, near: float = 0.01) -> DataFrame:
+    """(rows, repeated, clusters_apart, keys_apart, splits_off): how many row_uid are assigned, and how often a rule is
+    broken: a row_uid with two splits, a cluster or a molecule in two splits, a split further than ``near`` from its share.
+
+    Relations are checked one by one, without the groups that the assignment was made from.
+    """
+    assigned = scratch.write(assigned)
+    apart = lambda df, key: df.where(F.col(key).isNotNull()).groupBy(key).agg(F.countDistinct("split").alias("n")).where("n > 1").agg(F.count("*"))
+    by_cluster = folds.where("cluster_ecfp4_0p7 <> -1").select("row_uid", "cluster_ecfp4_0p7").distinct().join(assigned, "row_uid")
+    by_key = unified.select("row_uid", clean_key(F.col("InChIKey")).alias("key")).distinct().join(assigned, "row_uid")
+    off = split_report(assigned, folds, plan).where(F.abs(F.col("actual_share") - F.coalesce("target_share", F.lit(0.0))) > near).agg(F.count("*"))
+    one = assigned.agg(F.countDistinct("row_uid").alias("rows"), (F.count("*") - F.countDistinct("row_uid")).alias("repeated"))
+    for name, df in (("clusters_apart", apart(by_cluster, "cluster_ecfp4_0p7")), ("keys_apart", apart(by_key, "key")), ("splits_off", off)):
+        one = one.crossJoin(df.toDF(name))  # one row each
+    return one
