@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from limpid.functions.scalars import finite
+from limpid.runtime import Scratch
 
 #: Ranges of a group's values in which ranks are counted, each by itself.
 RANGES = 256
@@ -18,10 +19,12 @@ def group_quantiles(df: DataFrame, value: Column, shares: list[float], by: Colum
 
     Equal values are counted before they are shuffled; ranks are counted within ranges of the values and offset by the
     ranges before, and only the counts that hold a wanted rank are kept. So neither a group nor all its distinct values
-    are ever in one task's memory. Groups without values don't appear; NaN and infinities don't count.
+    are ever in one task's memory. Groups without values don't appear; NaN and infinities don't count. The counts and
+    the result are written to the shared folder: what comes before is computed once, and plans stay short.
     """
+    scratch = Scratch(df.sparkSession, "quantiles")
     g = F.lit(None).cast("int") if by is None else by
-    counts = df.select(g.alias("g"), finite(value.cast("double")).alias("v")).where("v IS NOT NULL").groupBy("g", "v").agg(F.count("*").alias("k"))
+    counts = scratch.write(df.select(g.alias("g"), finite(value.cast("double")).alias("v")).where("v IS NOT NULL").groupBy("g", "v").agg(F.count("*").alias("k")))
     ends = counts.groupBy("g").agg(F.sum("k").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     same = F.col("g").eqNullSafe(F.col("eg"))
     slot = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * RANGES), F.lit(RANGES - 1))).otherwise(0).cast("int")
@@ -43,4 +46,6 @@ def group_quantiles(df: DataFrame, value: Column, shares: list[float], by: Colum
         p, low, high = (F.col("n") - 1) * F.lit(float(q)), F.col(f"lo{i}"), F.col(f"hi{i}")
         return F.when(low == high, low).otherwise((F.ceil(p) - p) * low + (p - F.floor(p)) * high)
 
-    return got.select("g", "n", *[between(i, q).alias(f"q{i}") for i, q in enumerate(shares)])
+    out = scratch.write(got.select("g", "n", *[between(i, q).alias(f"q{i}") for i, q in enumerate(shares)]))
+    scratch.drop(counts)
+    return out

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,26 +37,86 @@ def tanimoto(a: Column, b: Column) -> Column:
     return F.when(either > 0, both / either).otherwise(0.0)
 
 
+#: A bit that more vectors share is looked at in blocks of this many, each pair of blocks by itself.
+BLOCK = 4096
+#: Rows of a matrix product at a time.
+ROWS = 256
+
+
+def _unpacked(words: pd.Series, order: np.ndarray) -> np.ndarray:
+    """(rows, bits) of 0 and 1 from arrays of 64-bit words, the bits in the given order."""
+    held = np.array(words.tolist(), np.int64).reshape(len(words), -1)
+    return np.unpackbits(held.astype("<i8").view(np.uint8), axis=1, bitorder="little")[:, order]
+
+
+def _listed(bits: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place) of the rarest bits of each row under which it must be listed; bits are ordered from the rarest."""
+    n = bits.sum(axis=1, dtype=np.int64)
+    most = n - np.ceil(limit * n - 1e-9).astype(np.int64) + 1
+    return np.nonzero((np.cumsum(bits, axis=1, dtype=np.int32) <= most[:, None]) & (bits == 1))
+
+
 def similar_pairs(df: DataFrame, key: str, words: str, limit: float) -> DataFrame:
     """(a, b, similarity) of all pairs with a < b and Tanimoto similarity of at least limit (> 0).
 
     Exact by prefix filtering: bits are ordered from the rarest to the most frequent, a vector of n bits is listed
-    under its n - ceil(limit n) + 1 rarest bits, and two vectors as similar as the limit share one of those. Only
-    vectors that share a listed bit and whose sizes fit meet (an equi-join, no cross join); the similarity is then
-    computed from the words. Empty vectors are similar to none.
+    under its n - ceil(limit n) + 1 rarest bits, and two vectors as similar as the limit share one of those. Vectors
+    under one bit are compared by matrix products where they meet, and a pair is given out only under its first common
+    bit: pairs are neither shuffled nor made distinct. Bits that many vectors share are cut into blocks, each pair of
+    blocks a cell of its own. Empty vectors are similar to none; rows without key or vector are left out.
     """
-    v = df.select(F.col(key).alias("k"), F.col(words).alias("w")).where("k IS NOT NULL AND w IS NOT NULL").withColumn("n", bit_total(F.col("w"))).where("n > 0")
+    v = df.select(F.col(key).alias("k"), F.col(words).alias("w")).where("k IS NOT NULL AND w IS NOT NULL").where(bit_total(F.col("w")) > 0)
     on = F.flatten(F.transform("w", lambda x, i: F.filter(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda j: F.when(F.call_function("shiftright", x, j).bitwiseAND(F.lit(1).cast("long")) == 1, i * 64 + j)), lambda j: j.isNotNull())))
-    bits = v.select("k", "n", F.explode(on).alias("bit"))
-    rare = bits.groupBy("bit").agg(F.count("*").alias("f"))
-    listed = bits.join(rare, "bit").groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("f", "bit"))).alias("o"))
-    cut = F.expr(f"n - CAST(ceil({limit} * n - 1e-9) AS INT) + 1")
-    under = listed.select("k", "n", F.explode(F.slice("o", F.lit(1), cut)).alias("x")).select("k", "n", F.col("x.bit").alias("bit"))
-    left, right = under.select(F.col("k").alias("a"), F.col("n").alias("na"), "bit"), under.select(F.col("k").alias("b"), F.col("n").alias("nb"), "bit")
-    met = left.join(right, "bit").where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= limit * F.greatest("na", "nb") - 1e-9)).select("a", "b").distinct()
-    wa, wb = v.select(F.col("k").alias("a"), F.col("w").alias("wa")), v.select(F.col("k").alias("b"), F.col("w").alias("wb"))
-    out = met.join(wa, "a").join(wb, "b").select("a", "b", tanimoto(F.col("wa"), F.col("wb")).alias("similarity"))
-    return out.where(F.col("similarity") >= limit - 1e-9)
+    seen = {r["bit"]: r["f"] for r in v.select(F.explode(on).alias("bit")).groupBy("bit").agg(F.count("*").alias("f")).collect()}  # one row per bit
+    width = 64 * (max(seen, default=0) // 64 + 1)
+    often = np.array([seen.get(i, 0) for i in range(width)], np.int64)
+    order = np.argsort(often, kind="stable")
+    blocks = np.maximum(-(-often[order] // BLOCK), 1)
+    most = int(blocks.max())
+    kind = df.schema[key].dataType.simpleString()
+
+    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for lo in range(0, len(pdf), ROWS):
+                part = pdf.iloc[lo : lo + ROWS]
+                row, place = _listed(_unpacked(part["w"], order), limit)
+                k = blocks[place]
+                other = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+                row, place, k = np.repeat(row, k), np.repeat(place, k), np.repeat(k, k)
+                mine = part["h"].to_numpy(np.int64)[row] % k
+                cell = (place * most + np.minimum(mine, other)) * most + np.maximum(mine, other)
+                yield pd.DataFrame({"cell": cell, "side": np.where(mine == other, -1, mine), "k": part["k"].to_numpy()[row], "w": part["w"].to_numpy()[row]})
+
+    def compared(pdf: pd.DataFrame) -> pd.DataFrame:
+        bits, side, keys = _unpacked(pdf["w"], order), pdf["side"].to_numpy(), pdf["k"].to_numpy()
+        place, n, x = int(pdf["cell"].iloc[0]) // (most * most), bits.sum(axis=1, dtype=np.int64), bits.astype(np.float32)
+        out = []
+        for lo in range(0, len(pdf), ROWS):
+            both = (x[lo : lo + ROWS] @ x[lo:].T).astype(np.int64)
+            either = n[lo : lo + ROWS, None] + n[None, lo:] - both
+            i, j = np.nonzero(both >= limit * either - 1e-9)
+            common, total = both[i, j], either[i, j]
+            i, j = i + lo, j + lo
+            keep = (i < j) & ((side[i] < 0) | (side[i] != side[j]))
+            keep[keep] = (bits[i[keep]] & bits[j[keep]]).argmax(axis=1) == place
+            out += [(*((keys[p], keys[q]) if keys[p] < keys[q] else (keys[q], keys[p])), c / t) for p, q, c, t in zip(i[keep], j[keep], common[keep].tolist(), total[keep].tolist()) if keys[p] != keys[q]]
+        return pd.DataFrame(out, columns=["a", "b", "similarity"])
+
+    def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A task's rows come sorted by cell; a cell holds two blocks at most."""
+        held = None
+        for pdf in batches:
+            whole = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            ends = np.flatnonzero(np.diff(whole["cell"].to_numpy())) + 1
+            for lo, hi in zip([0, *ends[:-1]], ends):
+                if hi - lo > 1:
+                    yield compared(whole.iloc[lo:hi])
+            held = whole.iloc[ends[-1] if len(ends) else 0 :]
+        if held is not None and len(held) > 1:
+            yield compared(held)
+
+    listed = v.withColumn("h", F.xxhash64("k").bitwiseAND(F.lit((1 << 62) - 1))).mapInPandas(cells, f"cell long, side long, k {kind}, w array<long>")
+    return listed.repartition("cell").sortWithinPartitions("cell").mapInPandas(met, f"a {kind}, b {kind}, similarity double")
 
 
 def sphere_clusters(df: DataFrame, key: str, words: str, limit: float = 0.7, most_rounds: int = 10_000) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from limpid.functions import scalars as S
 from limpid.operators import consensus, filters, linear, metrics, outliers, sampling
+from limpid.runtime import Scratch
 
 
 def curate(df: DataFrame, order: str, medium: str = "water", low: float = 24.0, high: float = 50.0, flag: bool = True) -> DataFrame:
@@ -22,7 +23,7 @@ def curate(df: DataFrame, order: str, medium: str = "water", low: float = 24.0,
 
 def research(df: DataFrame, order: str, group: str = "InChIKey", target: str = "logS", seed: int = 42) -> DataFrame:
     """(fold, n, rmse, mae, bias, r2) of a cross-validated physical ridge model on curated, grouped, weighted data."""
-    rows = curate(df, order)
+    rows = Scratch(df.sparkSession, "research").write(curate(df, order))  # folds, weights and models read it
     folds = sampling.group_folds(rows, group, target, seed=seed).select(group, "fold")
     data = sampling.sample_weights(rows).join(folds, group).withColumn("inv_temp", S.inverse_temperature(F.col("temp_C"))).withColumn("mw", F.coalesce("mol_weight", F.lit(800.0)))
     scored = linear.ridge_oof(data, ["inv_temp", "mw"], target)

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 #: Readings whose absolute value reaches this are placeholders (-999, 9999), not measurements.
 PLACEHOLDER_FROM = 900.0
 _OWN_DIR: list[str] = []
+_ROOTS: list[tuple[SparkSession, str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,11 +36,27 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_OWN_DIR[0]}"
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def clean_up() -> None:
+    """Deletes all intermediate tables of this process; results that were not read by now can't be read afterwards.
+    Runs when the process ends, as long as its session still lives."""
+    while _ROOTS:
+        spark, root = _ROOTS.pop()
+        try:
+            _delete(spark, root)
+        except Exception:  # noqa: BLE001 - the session is gone, and nothing more can be done
+            return
+
+
 class Scratch:
     """Intermediate tables written to the shared folder: they cut lineage and survive the loss of executors.
 
     ``write`` materialises a frame as Parquet and returns the frame read back; ``drop`` deletes a table that no
-    later step reads. Tables which the returned result still needs are left to the session's folder.
+    later step reads. Tables which the returned result still needs are deleted by ``clean_up`` at the end of the process.
     """
 
     def __init__(self, spark: SparkSession, label: str):
@@ -47,6 +64,9 @@ class Scratch:
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
         self._paths: dict[int, str] = {}
         self._n = 0
+        if not _ROOTS:
+            atexit.register(clean_up)
+        _ROOTS.append((spark, self.root))
 
     def write(self, df: DataFrame) -> DataFrame:
         self._n += 1
@@ -58,12 +78,9 @@ class Scratch:
         return back
 
     def drop(self, *frames: DataFrame) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for df in frames:
             if path := self._paths.pop(id(df), None):
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(conf).delete(p, True)
+                _delete(self.spark, path)
 
 
 def clean_key(col: Column) -> Column:
