@@ -26,3 +26,23 @@ def spark():
 @pytest.fixture(scope="session")
 def sf():
     return "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def equal_sql(spark, sf):
+    """Checks that a query's rows equal those that DuckDB gives for its SQL on the same tables."""
+    import duckdb
+
+    c = duckdb.connect()
+    for t in sorted(Path(sf).glob("*.parquet")):
+        c.sql(f"CREATE VIEW {t.stem} AS SELECT * FROM read_parquet('{t}')")
+
+    def check(query, sql):
+        df = query(spark, sf)
+        cols = sorted(df.columns)
+        r = c.sql(sql)
+        assert sorted(r.columns) == cols
+        want = sorted((tuple(x[r.columns.index(k)] for k in cols) for x in r.fetchall()), key=repr)
+        assert sorted((tuple(x[k] for k in cols) for x in df.collect()), key=repr) == want
+
+    return check

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 import __spark_entry__
 from limpid.operators import filters, models
-from limpid.plans import pipelines
+from limpid.plans import catalogue, pipelines
 from limpid.plans.reference import measurements
 from limpid.sources import files
 from limpid.streaming import score
@@ -60,22 +60,12 @@ def test_entry(spark):
     assert o.keys() <= q.keys() and len(q) > 60
 
 
-CHEAP = ["unify_schema", "filter_water", "outlier_robust_width", "consensus_dedup", "balance_2d", "group_kfold", "roc_auc", "oof_kway_join", "curate_pipeline", "corr_pairs", "tanimoto_pairs", "p7_found"]
+CORE = sorted(catalogue.ORACLES)
 
 
-@pytest.mark.parametrize("name", CHEAP)
-def test_queries_equal_sql(spark, sf, name):
-    import duckdb
-
-    c = duckdb.connect()
-    for t in ("unified", "folds", "oof", "second_challenge_predict_aqueous_solubility", "split_plan", "embeddings", "raw_records"):
-        c.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
-    df = __spark_entry__.queries()[name](spark, sf)
-    cols = sorted(df.columns)
-    r = c.sql(__spark_entry__.oracle_sql()[name])
-    assert sorted(r.columns) == cols
-    want = sorted((tuple(x[r.columns.index(k)] for k in cols) for x in r.fetchall()), key=repr)
-    assert sorted((tuple(x[k] for k in cols) for x in df.collect()), key=repr) == want
+@pytest.mark.parametrize("name", CORE)
+def test_queries_equal_sql(equal_sql, name):
+    equal_sql(catalogue.QUERIES[name], catalogue.ORACLES[name])
 
 
 def test_gbt_oof_runs_the_production_models(spark, sf, monkeypatch):
