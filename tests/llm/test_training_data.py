@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from limpid.llm import canonical, clusters, graph, leaks, mixing, overlaps, splits, survivors, toxicity
+from limpid.llm import canonical, clusters, graph, leaks, mixing, overlaps, queries, splits, survivors, toxicity
 from limpid.llm.shingles import code_points, grams, window_minima
 from limpid.runtime import Scratch, clean_key
 
@@ -475,3 +475,11 @@ def test_thresholds_from_all_ratings(spark):
     model = toxicity.train(sample)
     assert len(sample) == 80 == model.counts.n.sum() and {"en", "de"} < set(model.thresholds)
     assert toxicity.other_ratings(docs, labels, model, sample).n.sum() == 120
+
+
+# -- queries ----------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_equal_sql(equal_sql, name):
+    equal_sql(queries.QUERIES[name], queries.ORACLES[name])
