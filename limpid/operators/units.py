@@ -247,13 +247,18 @@ def fit_mixture(q: Quantity, counts: DataFrame, usual: dict[str, str]) -> tuple[
     return [float(x) for x in dens], weights
 
 
+def _usual_of(usual: dict[str, str], names: list[str]) -> Column:
+    return reduce(lambda acc, su: F.when(F.col("_src") == su[0], su[1]).otherwise(acc), usual.items(), F.lit(names[0]))
+
+
 def with_units(rows: DataFrame, q: Quantity, usual: dict[str, str] | None = None) -> DataFrame:
     """Adds unit, posterior, how ('text', 'source', 'value') and target to rows of (x, mw, src, stated, by_source, ...).
 
     Rows whose x is null keep null. The unit is what the text states, else what the source states, as long as the
     value can be in that unit at all (its target lies within the quantity's range, or is null for lack of a molar mass
-    or because x is 0); else the unit of the highest
-    posterior under the fitted mixture. Only counts by source and bin come to the driver.
+    or because x is 0); else the source's usual unit unless its
+    posterior under the fitted mixture is below 1 - SURE, then the unit of the highest posterior. Only counts by source
+    and bin come to the driver.
     """
     usual = usual or {}
     names = [u.name for u in q.units]
@@ -281,12 +286,16 @@ def with_units(rows: DataFrame, q: Quantity, usual: dict[str, str] | None = None
     got = got.withColumn("_w", F.coalesce("_w", F.array(*[F.lit(x) for x in start[""]]))).withColumn("_l", F.zip_with(like, "_w", lambda a, b: a * b))
     total = F.aggregate("_l", F.lit(0.0), lambda a, b: a + b)
     got = got.withColumn("_p", F.transform("_l", lambda v: v / total))
-    best = F.element_at(F.array(*[F.lit(n) for n in names]), F.array_position("_p", F.array_max("_p")).cast("int"))
+    # the usual unit stands unless the value all but excludes it
+    own = F.array_position(F.array(*[F.lit(n) for n in names]), _usual_of(usual, names)).cast("int")
+    at = F.when(F.element_at("_p", own) >= 1 - SURE, own).otherwise(F.array_position("_p", F.array_max("_p")).cast("int"))
+    got = got.withColumn("_at", at)
+    best = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_at"))
     here = F.col("x").isNotNull()
     unit = F.when(here, F.coalesce("_unit", best))
     got = got.withColumn("unit", unit).withColumn("how", F.when(here, F.when(F.col("_text").isNotNull(), "text").when(F.col("_reg").isNotNull(), "source").otherwise("value")))
-    got = got.withColumn("posterior", F.when(F.col("how") == "value", F.round(F.array_max("_p"), 6)).when(here, 1.0))
-    return got.withColumn("target", _converted(q, F.col("unit"))).drop("_src", "_text", "_reg", "_unit", "_w", "_l", "_p")
+    got = got.withColumn("posterior", F.when(F.col("how") == "value", F.round(F.element_at("_p", F.col("_at")), 6)).when(here, 1.0))
+    return got.withColumn("target", _converted(q, F.col("unit"))).drop("_src", "_text", "_reg", "_unit", "_w", "_l", "_p", "_at")
 
 
 def _measured(unified: DataFrame, registry: DataFrame, scratch: Scratch) -> DataFrame:

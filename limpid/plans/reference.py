@@ -171,7 +171,7 @@ def drop_null_rows(spark, d):
     return schema.drop_null_rows(table(spark, d, "unified").select("rec_id", "smiles_neutral", "row_uid", "logS"))
 
 
-@query("SELECT rec_id, coalesce(CASE WHEN isfinite(logS) THEN logS END, 0.0) AS \"logS\", 0.0 AS absent FROM unified")
+@query("SELECT rec_id, coalesce(CASE WHEN isfinite(logS) THEN logS END, 0.0) AS \"logS\", 0.0::DOUBLE AS absent FROM unified")
 def model_features(spark, d):
     u = table(spark, d, "unified")
     return schema.model_features(u, ["rec_id", "logS", "absent"]).withColumn("rec_id", F.col("rec_id").cast("long"))

@@ -116,12 +116,12 @@ def model_card(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(C + """, w AS (SELECT id, fold, avg(y_pred) AS mean FROM c GROUP BY id, fold HAVING count(DISTINCT model) = (SELECT count(DISTINCT model) FROM c WHERE model IS NOT NULL))
-SELECT id, fold, round(mean, 6) AS mean, 0.0 AS nothing FROM w""".replace("\n, w", ", w"))
+SELECT id, fold, round(mean, 6) AS mean, 0.0::DOUBLE AS nothing FROM w""".replace("\n, w", ", w"))
 def ensemble_fallback(spark: SparkSession, d: str) -> DataFrame:
     names = model_names(spark, d)
     w = joins.oof_wide(collapsed(spark, d), names)
     w = linear.ensemble(w, models=[f"oof_{m}" for m in names], name="mean")
-    return linear.ensemble(w, name="nothing").select("id", "fold", *r6("mean"), F.col("nothing").cast("decimal(2,1)").alias("nothing"))
+    return linear.ensemble(w, name="nothing").select("id", "fold", *r6("mean"), "nothing")
 
 
 @query("""SELECT 'folds' AS name, row_uid, fold FROM folds UNION ALL SELECT 'absent: missing', NULL, NULL UNION ALL SELECT 'left: skipped', NULL, NULL""")
