@@ -363,7 +363,7 @@ def corr_pairs(spark, d):
 
 FEAT_PAIRS = " UNION ALL ".join(f"SELECT {i} AS i, {j} AS j, corr({a}, {b}) AS r FROM w" for i, a in enumerate(FEATURES) for j, b in enumerate(FEATURES) if i != j)
 FEAT_GROUPS = FEAT_SQL.replace("WITH m", "WITH RECURSIVE m", 1).rstrip() + LONG.rstrip() + f""", pr AS ({FEAT_PAIRS}), f AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(FEATURES))}) t(i, feature)),
-rc AS (SELECT i, i AS j FROM f UNION SELECT rc.i, pr.j FROM rc JOIN pr ON pr.i = rc.j AND abs(r) >= 0.99),
+rc AS (SELECT i, i AS j FROM f UNION SELECT rc.i, pr.j FROM rc JOIN pr ON pr.i = rc.j AND isfinite(r) AND abs(r) >= 0.99),
 gp AS (SELECT i, min(j) AS top FROM rc GROUP BY i)
 """
 
