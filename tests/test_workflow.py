@@ -133,3 +133,25 @@ def test_trees_without_constant_features(spark):
     wide = df.select("id", F.col("a").alias("oof_a"), F.col("y").alias("oof_b"))
     assert linear.ensemble(wide, blend={"oof_a": 1.0, "oof_b": 3.0}).where("id = 1").first()["prediction"] == pytest.approx(1.75)
     assert linear.ensemble(wide, stack=({"oof_a": 2.0}, 1.0), blend={"oof_a": 1.0}).where("id = 1").first()["prediction"] == pytest.approx(3.0)
+
+
+@pytest.mark.parametrize("kind", ["gbt", "rf"])
+def test_search_on_cells_equals_fits_on_rows(spark, kind, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, i % 3, float(i // 3 % 9), float(i // 27 % 7), rng.gauss(0, 0.3) + (i // 3 % 9 > 4) * (i // 27 % 7)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "id long, fold int, a double, b double, y double")
+    monkeypatch.setattr(models, "SEARCH", {"gbt": {"maxDepth": (2, 3), "maxIter": (4,), "stepSize": (0.2,)}, "rf": {"maxDepth": (3,), "numTrees": (30,)}})
+    fast = models.search(df, ["a", "b"], "y", kind, trials=2)
+    monkeypatch.setattr(models, "MAX_CELLS", 0)  # cells beyond the bound: every fit is one of pyspark.ml
+    slow = models.search(df, ["a", "b"], "y", kind, trials=2)
+    assert [p for _, p in fast] == [p for _, p in slow]
+    near = 1e-9 if kind == "gbt" else 0.08  # forests are drawn, boosting is not
+    assert all(abs(x - y) < near for (x, _), (y, _) in zip(fast, slow))
+
+
+def test_search_reads_the_rows_a_few_times(spark, monkeypatch):
+    df = spark.createDataFrame([(i % 3, float(i % 90), float(i % 7)) for i in range(300)], "fold int, a double, y double")
+    jobs = lambda: spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    before = jobs()
+    models.search(df, ["a"], "y", "gbt", trials=1)
+    assert jobs() - before < 60  # 3 fits by pyspark.ml are several hundred jobs
