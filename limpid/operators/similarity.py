@@ -37,86 +37,111 @@ def tanimoto(a: Column, b: Column) -> Column:
     return F.when(either > 0, both / either).otherwise(0.0)
 
 
-#: A bit that more vectors share is looked at in blocks of this many, each pair of blocks by itself.
-BLOCK = 4096
-#: Rows of a matrix product at a time.
-ROWS = 256
+#: Vectors are compared block against block: up to SPREAD blocks of at least BLOCK vectors, beyond that blocks of MOST.
+BLOCK, SPREAD, MOST = 4096, 8, 131_072
+#: Groups of bits whose parities are compared first, and rows and columns of a matrix product at a time.
+FOLD, ROWS, COLS = 128, 256, 4096
 
 
-def _unpacked(words: pd.Series, order: np.ndarray) -> np.ndarray:
-    """(rows, bits) of 0 and 1 from arrays of 64-bit words, the bits in the given order."""
-    held = np.array(words.tolist(), np.int64).reshape(len(words), -1)
-    return np.unpackbits(held.astype("<i8").view(np.uint8), axis=1, bitorder="little")[:, order]
-
-
-def _listed(bits: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, place) of the rarest bits of each row under which it must be listed; bits are ordered from the rarest."""
-    n = bits.sum(axis=1, dtype=np.int64)
-    most = n - np.ceil(limit * n - 1e-9).astype(np.int64) + 1
-    return np.nonzero((np.cumsum(bits, axis=1, dtype=np.int32) <= most[:, None]) & (bits == 1))
+def _parities(words: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
+    """(rows, groups) of 0 and 1: whether a vector has an odd number of the bits of each group."""
+    bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")[:, np.argsort(group, kind="stable")]
+    return np.bitwise_xor.reduceat(bits, np.searchsorted(np.sort(group), np.arange(groups)), axis=1)
 
 
 def similar_pairs(df: DataFrame, key: str, words: str, limit: float) -> DataFrame:
     """(a, b, similarity) of all pairs with a < b and Tanimoto similarity of at least limit (> 0).
 
-    Exact by prefix filtering: bits are ordered from the rarest to the most frequent, a vector of n bits is listed
-    under its n - ceil(limit n) + 1 rarest bits, and two vectors as similar as the limit share one of those. Vectors
-    under one bit are compared by matrix products where they meet, and a pair is given out only under its first common
-    bit: pairs are neither shuffled nor made distinct. Bits that many vectors share are cut into blocks, each pair of
-    blocks a cell of its own. Empty vectors are similar to none; rows without key or vector are left out.
+    Exact: of vectors with m and n bits as similar as the limit, at most (1 - limit) / (1 + limit) * (m + n) bits stand in
+    one only, and so no more groups of bits differ in parity. Parities are compared by matrix products, the few pairs that
+    pass bit by bit. Vectors are written once and sent once for each block that theirs meets, so what is shuffled doesn't
+    grow with their bits, nor with how many share one. Empty vectors are similar to none; rows without key or vector are
+    left out.
     """
     v = df.select(F.col(key).alias("k"), F.col(words).alias("w")).where("k IS NOT NULL AND w IS NOT NULL").where(bit_total(F.col("w")) > 0)
-    on = F.flatten(F.transform("w", lambda x, i: F.filter(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda j: F.when(F.call_function("shiftright", x, j).bitwiseAND(F.lit(1).cast("long")) == 1, i * 64 + j)), lambda j: j.isNotNull())))
-    seen = {r["bit"]: r["f"] for r in v.select(F.explode(on).alias("bit")).groupBy("bit").agg(F.count("*").alias("f")).collect()}  # one row per bit
-    width = 64 * (max(seen, default=0) // 64 + 1)
-    often = np.array([seen.get(i, 0) for i in range(width)], np.int64)
-    order = np.argsort(often, kind="stable")
-    blocks = np.maximum(-(-often[order] // BLOCK), 1)
-    most = int(blocks.max())
-    kind = df.schema[key].dataType.simpleString()
+    v = Scratch(df.sparkSession, "pairs").write(v)
+    count, length = v.agg(F.count("*"), F.max(F.size("w"))).first()
+    length = length or 1
 
-    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = np.zeros(64 * length, np.int64)
         for pdf in batches:
-            for lo in range(0, len(pdf), ROWS):
-                part = pdf.iloc[lo : lo + ROWS]
-                row, place = _listed(_unpacked(part["w"], order), limit)
-                k = blocks[place]
-                other = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-                row, place, k = np.repeat(row, k), np.repeat(place, k), np.repeat(k, k)
-                mine = part["h"].to_numpy(np.int64)[row] % k
-                cell = (place * most + np.minimum(mine, other)) * most + np.maximum(mine, other)
-                yield pd.DataFrame({"cell": cell, "side": np.where(mine == other, -1, mine), "k": part["k"].to_numpy()[row], "w": part["w"].to_numpy()[row]})
-
-    def compared(pdf: pd.DataFrame) -> pd.DataFrame:
-        bits, side, keys = _unpacked(pdf["w"], order), pdf["side"].to_numpy(), pdf["k"].to_numpy()
-        place, n, x = int(pdf["cell"].iloc[0]) // (most * most), bits.sum(axis=1, dtype=np.int64), bits.astype(np.float32)
-        out = []
-        for lo in range(0, len(pdf), ROWS):
-            both = (x[lo : lo + ROWS] @ x[lo:].T).astype(np.int64)
-            either = n[lo : lo + ROWS, None] + n[None, lo:] - both
-            i, j = np.nonzero(both >= limit * either - 1e-9)
-            common, total = both[i, j], either[i, j]
-            i, j = i + lo, j + lo
-            keep = (i < j) & ((side[i] < 0) | (side[i] != side[j]))
-            keep[keep] = (bits[i[keep]] & bits[j[keep]]).argmax(axis=1) == place
-            out += [(*((keys[p], keys[q]) if keys[p] < keys[q] else (keys[q], keys[p])), c / t) for p, q, c, t in zip(i[keep], j[keep], common[keep].tolist(), total[keep].tolist()) if keys[p] != keys[q]]
-        return pd.DataFrame(out, columns=["a", "b", "similarity"])
+            seen += np.unpackbits(_packed(pdf["w"], length).view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        yield pd.DataFrame({"bit": np.arange(len(seen)), "f": seen})
+
+    seen = v.select("w").mapInPandas(counted, "bit long, f long").groupBy("bit").agg(F.sum("f").alias("f")).toPandas()  # one row per bit
+    often = np.zeros(64 * length, np.int64)
+    often[seen["bit"].to_numpy(np.int64)] = seen["f"].to_numpy(np.int64)
+    groups = min(FOLD, 64 * length)
+    group = np.empty(64 * length, np.int64)  # bits that tell much, held by about half of the vectors, are spread over the groups
+    group[np.argsort(-often * (count - often).astype(float), kind="stable")] = np.arange(64 * length) % groups
+    blocks = max(min(SPREAD, -(-count // BLOCK)), -(-count // MOST), 1)
+    margin = (1 - limit) / (1 + limit)
+    kind = df.schema[key].dataType.simpleString()
+
+    def compared(keys: np.ndarray, held: np.ndarray, side: np.ndarray) -> Iterator[pd.DataFrame]:
+        n = np.bitwise_count(held).sum(axis=1, dtype=np.int64)
+        order = np.lexsort((n, side))
+        keys, held, n, side = keys[order], held[order], n[order], side[order]
+        cut = int(np.searchsorted(side, side[0], "right"))
+        lone = cut == len(side)
+        if lone and side[0] >= 0:
+            return  # the other block has no vectors
+        odd = np.concatenate([_parities(held[lo : lo + COLS], group, groups).astype(np.float32) for lo in range(0, len(held), COLS)])
+        need = ((odd.sum(axis=1) - margin * n) / 2).astype(np.float32)
+        first, last = (0, len(n)) if lone else (cut, len(n))
+        for lo in range(0, cut, ROWS):
+            hi = min(lo + ROWS, cut)
+            # sizes ascend in a block: columns that are too small or too large for all these rows are left out
+            start = first + int(np.searchsorted(n[first:last], limit * n[lo] - 1e-6))
+            end = first + int(np.searchsorted(n[first:last], n[hi - 1] / limit + 1e-6, "right"))
+            out = []
+            for c in range(max(start, lo) if lone else start, end, COLS):
+                d = min(c + COLS, end)
+                score = odd[lo:hi] @ odd[c:d].T
+                score -= need[lo:hi, None]
+                i, j = np.divmod(np.flatnonzero(score >= need[c:d] - np.float32(1e-2)), d - c)
+                i, j = i + lo, j + c
+                if lone:
+                    i, j = i[i < j], j[i < j]
+                both = np.bitwise_count(held[i] & held[j]).sum(axis=1, dtype=np.int64)
+                either = n[i] + n[j] - both
+                near = both >= limit * either - 1e-9
+                i, j = i[near], j[near]
+                out += [(*((p, q) if p < q else (q, p)), x / y) for p, q, x, y in zip(keys[i], keys[j], both[near].tolist(), either[near].tolist()) if p != q]
+            if out:
+                yield pd.DataFrame(out, columns=["a", "b", "similarity"])
 
     def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """A task's rows come sorted by cell; a cell holds two blocks at most."""
-        held = None
+        """A task's rows come sorted by cell; a cell holds one block or two."""
+        cell, parts = None, []
         for pdf in batches:
-            whole = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            ends = np.flatnonzero(np.diff(whole["cell"].to_numpy())) + 1
+            at = pdf["cell"].to_numpy()
+            ends = [*(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)]
             for lo, hi in zip([0, *ends[:-1]], ends):
-                if hi - lo > 1:
-                    yield compared(whole.iloc[lo:hi])
-            held = whole.iloc[ends[-1] if len(ends) else 0 :]
-        if held is not None and len(held) > 1:
-            yield compared(held)
-
-    listed = v.withColumn("h", F.xxhash64("k").bitwiseAND(F.lit((1 << 62) - 1))).mapInPandas(cells, f"cell long, side long, k {kind}, w array<long>")
-    return listed.repartition("cell").sortWithinPartitions("cell").mapInPandas(met, f"a {kind}, b {kind}, similarity double")
+                if hi == lo:
+                    continue
+                if at[lo] != cell and parts:
+                    yield from compared(*map(np.concatenate, zip(*parts)))
+                    parts = []
+                cell = at[lo]
+                parts.append((pdf["k"].to_numpy()[lo:hi], _packed(pdf["w"].iloc[lo:hi], length), pdf["side"].to_numpy()[lo:hi]))
+        if parts:
+            yield from compared(*map(np.concatenate, zip(*parts)))
+
+    mine = F.pmod(F.xxhash64("k"), F.lit(blocks)).cast("int")
+    sent = v.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    cell = F.least("mine", "other") * blocks + F.greatest("mine", "other")
+    sent = sent.select(cell.alias("cell"), F.when(F.col("mine") == F.col("other"), -1).otherwise(F.col("mine")).alias("side"), "k", "w")
+    return sent.repartition(blocks * (blocks + 1) // 2, "cell").sortWithinPartitions("cell").mapInPandas(met, f"a {kind}, b {kind}, similarity double")
+
+
+def _packed(words: pd.Series, length: int) -> np.ndarray:
+    """(rows, length) of 64-bit words; shorter vectors are filled up with zeros."""
+    out = np.zeros((len(words), length), np.uint64)
+    for i, w in enumerate(words):
+        out[i, : len(w)] = np.asarray(w, np.int64).view(np.uint64)
+    return out
 
 
 def sphere_clusters(df: DataFrame, key: str, words: str, limit: float = 0.7, most_rounds: int = 10_000) -> DataFrame:

@@ -221,6 +221,28 @@ def test_similar_pairs_equal_brute_force(spark):
         assert any(all(i == j or want.get((min(i, j), max(i, j)), 0) >= 0.3 for j in ids) for i in ids)
 
 
+def test_similar_pairs_send_a_vector_once_a_block(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK", 16)
+    rng = np.random.default_rng(6)
+    v = rng.random((64, 192)) < 0.4
+    v[7] = v[40] ^ (rng.random(192) < 0.04)
+    df = spark.createDataFrame([(i, [bool(x) for x in r]) for i, r in enumerate(v)], "id long, f array<boolean>").withColumn("w", similarity.bit_words(F.col("f"), 192))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        pairs = similarity.similar_pairs(df, "id", "w", 0.7)
+        assert (7, 40) in {(r["a"], r["b"]) for r in pairs.collect()}
+        todo, sent = [pairs._jdf.queryExecution().executedPlan()], 0
+        while todo:
+            plan = todo.pop()
+            if plan.nodeName() == "Exchange":
+                sent += plan.metrics().apply("shuffleRecordsWritten").value()
+            todo += [plan.children().apply(i) for i in range(plan.children().size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert 0 < sent <= 64 * 4  # four blocks; under rare bits 3,036 rows were sent
+
+
 def test_mahalanobis_and_pca(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(100, 4)) @ rng.normal(size=(4, 4))
